@@ -8,11 +8,10 @@ comparison start from the same raw rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tillwright.functions.measures import line_total
 from tillwright.sources import schemas
-from tillwright.sources.files import as_csv_read
 
 
 def _text(expression: str) -> str:
@@ -184,14 +183,35 @@ def raw_products_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return select_text(table(spark, sf_dir, "part"), PRODUCT_TEXT)
 
 
+def _as_csv_reads(name: str, kind: str) -> Column:
+    """What a typed CSV read makes of a token; queries ``src*`` read real files instead."""
+    token = F.col(name)
+    match kind:
+        case "int":
+            value = F.when(token.rlike(r"^[+-]?\d+$"), token.try_cast("int"))
+        case "float":
+            value = token.try_cast("float")
+        case "date":
+            value = F.when(token.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$"), token.try_cast("date"))
+        case "boolean":
+            value = F.when(F.lower(token).isin("true", "false"), F.lower(token) == "true")
+        case _:
+            value = F.nullif(token, F.lit(""))
+    return value.alias(name)
+
+
+def _typed(text: DataFrame, schema: str) -> DataFrame:
+    return text.select(*[_as_csv_reads(*field.split()) for field in schema.split(",")])
+
+
 def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw customers under the types of the CSV read."""
-    return as_csv_read(raw_customers_text(spark, sf_dir), schemas.CUSTOMERS_RAW)
+    return _typed(raw_customers_text(spark, sf_dir), schemas.CUSTOMERS_RAW)
 
 
 def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw products under the types of the CSV read."""
-    return as_csv_read(raw_products_text(spark, sf_dir), schemas.PRODUCTS_RAW)
+    return _typed(raw_products_text(spark, sf_dir), schemas.PRODUCTS_RAW)
 
 
 def raw_orders(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:

@@ -30,5 +30,5 @@ def with_surrogate(df: DataFrame, dimension: DataFrame, natural: str, surrogate:
 
 
 def with_attributes(df: DataFrame, dimension: DataFrame, key: str, attributes: Sequence[str]) -> DataFrame:
-    """Add attributes of ``dimension``; rows without a match are dropped."""
-    return df.join(dimension.select(key, *attributes), key, "inner")
+    """Add attributes of ``dimension``, replacing columns of the same name; rows without a match go."""
+    return df.drop(*attributes).join(dimension.select(key, *attributes), key, "inner")

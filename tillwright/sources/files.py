@@ -6,7 +6,7 @@ Columns bind by position and a token that does not fit its type becomes NULL whi
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from tillwright.sources import schemas
 
@@ -34,15 +34,12 @@ def read_customers(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """Write rows so that the readers above get every text back as it was."""
-    df.write.options(
-        header="true", escape='"', ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false"
-    ).csv(path)
-
-
-def as_csv_read(df: DataFrame, schema: str) -> DataFrame:
-    """Text rows under the types a CSV read would give them, without the detour over files."""
-    keep_spaces = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
-    line = F.to_csv(F.struct(*df.columns), {"escape": '"', **keep_spaces})
-    typed = F.from_csv(line, schema, {"escape": '"', "mode": "PERMISSIVE"})
-    return df.select(typed.alias("_row")).select("_row.*")
+    """Write rows so that the readers above get every text back; an empty text comes back as NULL."""
+    options = {
+        "header": "true",
+        "escape": '"',
+        "emptyValue": "",
+        "ignoreLeadingWhiteSpace": "false",
+        "ignoreTrailingWhiteSpace": "false",
+    }
+    df.write.options(**options).csv(path)
