@@ -142,7 +142,9 @@ def missing_dropped(step: str, names) -> str:
 # --- raw text and what the CSV read makes of it ----------------------------------------------
 
 for entity, text in si.RAW_TEXT.items():
-    STEPS[f"text_{entity}"] = f"SELECT {columns(text)} FROM {si.SOURCES[entity]}"
+    STEPS[f"text_{entity}"] = (
+        f"SELECT {columns(text)} FROM (SELECT *, {columns(si.BASES[entity])} FROM {si.SOURCES[entity]})"
+    )
 
 C, P, O = list(si.CUSTOMER_TEXT), list(si.PRODUCT_TEXT), list(si.ORDER_TEXT)
 
@@ -241,7 +243,7 @@ ORACLE["cln13_numeric_id"] = (
 ORACLE["cln14_list_price"] = (
     f"SELECT product_id, {PARSED_PRODUCT['price']} AS price, {PARSED_PRODUCT['cost']} AS cost FROM text_products"
 )
-STEPS["bare_lines"] = "SELECT " + columns({name: tokens(f"({si.LINE_TEXT[name]})", *NULLS) for name in si.LINE_TEXT}) + " FROM lineitem"
+STEPS["bare_lines"] = "SELECT " + columns({name: tokens(f"({si.LINE_TEXT[name]})", *NULLS) for name in si.LINE_TEXT}) + f" FROM (SELECT *, {columns(si.BASES['lines'])} FROM lineitem)"
 ORACLE["cln15_order_price"] = (
     f"SELECT order_id, {PARSED_ORDER['unit_price']} AS unit_price, {PARSED_ORDER['total_amount']} AS total_amount FROM bare_lines"
 )

@@ -108,37 +108,37 @@ def cln2_null_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def cln3_number_placeholders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = si.select_text(si.table(spark, sf_dir, "part"), si.PRODUCT_TEXT, "product_id", "price", "cost")
+    raw = si.select_text(si.table(spark, sf_dir, "part"), si.PRODUCT_TEXT, "product_id", "price", "cost", bases="products")
     return raw.withColumns({name: text.tokens_to_null(F.col(name), text.NUMBER_PLACEHOLDERS) for name in ("price", "cost")})
 
 
 @query
 def cln4_email(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = si.select_text(si.table(spark, sf_dir, "customer"), si.CUSTOMER_TEXT, "customer_id", "email")
+    raw = si.select_text(si.table(spark, sf_dir, "customer"), si.CUSTOMER_TEXT, "customer_id", "email", bases="customers")
     return raw.withColumn("email", text.email_address(text.blank_to_null(F.col("email"))))
 
 
 @query
 def cln5_phone(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = si.select_text(si.table(spark, sf_dir, "customer"), si.CUSTOMER_TEXT, "customer_id", "phone")
+    raw = si.select_text(si.table(spark, sf_dir, "customer"), si.CUSTOMER_TEXT, "customer_id", "phone", bases="customers")
     return raw.withColumn("phone", text.phone_number(F.col("phone")))
 
 
 @query
 def cln6_clamp(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = si.select_text(si.table(spark, sf_dir, "customer"), si.CUSTOMER_TEXT, "customer_id", "loyalty_points")
+    raw = si.select_text(si.table(spark, sf_dir, "customer"), si.CUSTOMER_TEXT, "customer_id", "loyalty_points", bases="customers")
     return raw.withColumn("loyalty_points", numbers.at_least_zero(numbers.whole_number(F.col("loyalty_points"))))
 
 
 @query
 def cln7_country(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = si.select_text(si.table(spark, sf_dir, "customer").join(si.table(spark, sf_dir, "nation"), F.expr("c_nationkey = n_nationkey")), si.CUSTOMER_TEXT, "customer_id", "country")
+    raw = si.select_text(si.table(spark, sf_dir, "customer").join(si.table(spark, sf_dir, "nation"), F.expr("c_nationkey = n_nationkey")), si.CUSTOMER_TEXT, "customer_id", "country", bases="customers")
     return raw.withColumn("country", text.canonical(F.col("country")))
 
 
 @query
 def cln8_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = si.select_text(si.customer_rows(spark, sf_dir), si.CUSTOMER_TEXT, "customer_id", "state")
+    raw = si.select_text(si.customer_rows(spark, sf_dir), si.CUSTOMER_TEXT, "customer_id", "state", bases="customers")
     return raw.withColumn("state", text.upper_code(F.col("state")))
 
 
@@ -159,7 +159,7 @@ def cln11_one_row_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def cln12_id_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = si.select_text(si.table(spark, sf_dir, "part"), si.PRODUCT_TEXT, "product_id", "product_name")
+    raw = si.select_text(si.table(spark, sf_dir, "part"), si.PRODUCT_TEXT, "product_id", "product_name", bases="products")
     return curation.trimmed(raw).filter(text.matches(F.col("product_id")))
 
 
@@ -171,13 +171,13 @@ def cln13_numeric_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def cln14_list_price(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = si.select_text(si.table(spark, sf_dir, "part"), si.PRODUCT_TEXT, "product_id", "price", "cost")
+    raw = si.select_text(si.table(spark, sf_dir, "part"), si.PRODUCT_TEXT, "product_id", "price", "cost", bases="products")
     priced = {name: numbers.list_price(text.tokens_to_null(F.col(name), text.NUMBER_PLACEHOLDERS)) for name in ("price", "cost")}
     return raw.withColumns(priced)
 
 
 def _lines(spark: SparkSession, sf_dir: str, *names: str) -> DataFrame:
-    return curation.without_tokens(si.select_text(si.table(spark, sf_dir, "lineitem"), si.LINE_TEXT, *names))
+    return curation.without_tokens(si.select_text(si.table(spark, sf_dir, "lineitem"), si.LINE_TEXT, *names, bases="lines"))
 
 
 @query
@@ -212,7 +212,7 @@ def cln18_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def cln19_iso_date(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = si.select_text(si.table(spark, sf_dir, "part"), si.PRODUCT_TEXT, "product_id", "created_date")
+    raw = si.select_text(si.table(spark, sf_dir, "part"), si.PRODUCT_TEXT, "product_id", "created_date", bases="products")
     return raw.withColumn("created_date", dates.standard_date(text.blank_to_null(F.col("created_date"))))
 
 
@@ -224,7 +224,7 @@ def cln20_two_date_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def cln21_yes_no(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = si.select_text(si.table(spark, sf_dir, "part"), si.PRODUCT_TEXT, "product_id", "is_active")
+    raw = si.select_text(si.table(spark, sf_dir, "part"), si.PRODUCT_TEXT, "product_id", "is_active", bases="products")
     return raw.withColumn("is_active", text.yes_no(text.blank_to_null(F.col("is_active"))))
 
 
@@ -642,6 +642,6 @@ def ext1_first_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def ext2_rejected_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    survivors = curation.one_order_per_id(curation.parse_orders(si.raw_orders(spark, sf_dir)))
+    survivors = curation.surviving_orders(si.raw_orders(spark, sf_dir))
     rejected = curation.rejected_orders(survivors)
     return rejected.select("order_id", F.concat_ws("; ", "reasons").alias("reasons"))

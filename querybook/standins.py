@@ -33,39 +33,55 @@ def defects(key: str, cycle: int, otherwise: str, *cases: tuple[int, str]) -> st
     return f"case {key} % {cycle} {listed} else {otherwise} end"
 
 
-_DAY_OF_KEY = f"'2023-' || {_padded('1 + c_custkey % 12', 2)} || '-' || {_padded('1 + c_custkey % 28', 2)}"
-_CREATED = f"'2022-' || {_padded('1 + p_partkey % 12', 2)} || '-' || {_padded('1 + p_partkey % 28', 2)}"
-_LIST_PRICE = _text("cast(p_retailprice as decimal(10,2))")
-_COST = _text("round(cast(p_retailprice as decimal(12,2)) * 0.6, 2)")
-_LINE_PRICE = _text("cast(l_extendedprice as decimal(12,2))")
-_LINE_PERCENT = _text("cast(l_discount as decimal(5,2)) * 100")
-_ORDER_DAY = _text("cast(o_orderdate as date)")
-_SHIP_DAY = _text("cast(l_shipdate as date)")
-
-
 def _us(day: str) -> str:
     return f"substr({day}, 6, 2) || '-' || substr({day}, 9, 2) || '-' || substr({day}, 1, 4)"
 
 
+# Columns that several defects start from, computed once per row below the text itself.
+BASES = {
+    "customers": {
+        "key_text": _text("c_custkey"),
+        "key_digits": _padded("c_custkey % 10000", 4),
+        "key_day": f"'2023-' || {_padded('1 + c_custkey % 12', 2)} || '-' || {_padded('1 + c_custkey % 28', 2)}",
+    },
+    "products": {
+        "own_id": product_id("p_partkey"),
+        "previous_id": product_id("(p_partkey - 1)"),
+        "price_text": _text("cast(p_retailprice as decimal(10,2))"),
+        "cost_text": _text("round(cast(p_retailprice as decimal(12,2)) * 0.6, 2)"),
+        "created_day": f"'2022-' || {_padded('1 + p_partkey % 12', 2)} || '-' || {_padded('1 + p_partkey % 28', 2)}",
+    },
+    "lines": {
+        "line_id": _text("l_orderkey * 10 + l_linenumber"),
+        "line_product": product_id("l_partkey"),
+        "line_price": _text("cast(l_extendedprice as decimal(12,2))"),
+        "line_percent": _text("cast(l_discount as decimal(5,2)) * 100"),
+        "ship_day": _text("cast(l_shipdate as date)"),
+    },
+    "headers": {"order_day": _text("cast(o_orderdate as date)")},
+}
+BASES["orders"] = BASES["lines"] | BASES["headers"]
+
+
 CUSTOMER_TEXT = {
-    "customer_id": defects("c_custkey", 53, _text("c_custkey"), (7, _text("c_custkey - 1")), (20, "'XYZ'"), (40, "''")),
+    "customer_id": defects("c_custkey", 53, "key_text", (7, _text("c_custkey - 1")), (20, "'XYZ'"), (40, "''")),
     "first_name": defects("c_custkey", 11, "c_name", (3, "'   '"), (4, "'  ' || c_name || ' '")),
     "last_name": "c_mktsegment",
     "email": defects(
-        "c_custkey", 9, f"'user' || {_text('c_custkey')} || '@example.com'",
-        (1, f"'user' || {_text('c_custkey')} || 'example.com'"),
-        (2, f"' User' || {_text('c_custkey')} || '@Shop.Example.COM '"),
+        "c_custkey", 9, "'user' || key_text || '@example.com'",
+        (1, "'user' || key_text || 'example.com'"),
+        (2, "' User' || key_text || '@Shop.Example.COM '"),
         (3, "'user@@example.com'"), (4, "'user@example'"),
     ),
     "phone": defects(
-        "c_custkey", 8, f"'612555' || {_padded('c_custkey % 10000', 4)}",
-        (1, f"'(612)555-' || {_padded('c_custkey % 10000', 4)}"),
-        (2, f"'+1 612 555 ' || {_padded('c_custkey % 10000', 4)}"),
-        (3, f"'abc' || {_text('c_custkey')}"), (4, "''"),
+        "c_custkey", 8, "'612555' || key_digits",
+        (1, "'(612)555-' || key_digits"),
+        (2, "'+1 612 555 ' || key_digits"),
+        (3, "'abc' || key_text"), (4, "''"),
     ),
     "signup_date": defects(
-        "c_custkey", 13, _DAY_OF_KEY,
-        (2, f"replace({_DAY_OF_KEY}, '-', '/')"), (5, "'2023-04-31'"), (6, "'2023-1-5'"), (7, "'notadate'"),
+        "c_custkey", 13, "key_day",
+        (2, "replace(key_day, '-', '/')"), (5, "'2023-04-31'"), (6, "'2023-1-5'"), (7, "'notadate'"),
     ),
     "country": "case c_nationkey when 0 then 'usa' when 1 then 'U.S.A.' when 2 then 'United States' "
     "when 3 then 'US' when 4 then 'CANADA' when 5 then 'mexico' else n_name end",
@@ -79,24 +95,23 @@ CUSTOMER_TEXT = {
 
 PRODUCT_TEXT = {
     "product_id": defects(
-        "p_partkey", 67, product_id("p_partkey"),
-        (5, product_id("(p_partkey - 1)")), (20, "'BADID'"), (33, f"' ' || {product_id('p_partkey')} || ' '"), (50, "''"),
+        "p_partkey", 67, "own_id", (5, "previous_id"), (20, "'BADID'"), (33, "' ' || own_id || ' '"), (50, "''")
     ),
     "product_name": "p_name",
     "category": "p_type",
     "brand": defects("p_partkey", 17, "p_brand", (3, "' '")),
     "price": defects(
-        "p_partkey", 23, _LIST_PRICE,
-        (1, f"'$' || {_LIST_PRICE}"), (2, f"replace({_LIST_PRICE}, '.', ',')"), (3, "'?'"), (4, "'N/A'"),
-        (5, f"'-' || {_LIST_PRICE}"), (6, f"' ' || {_LIST_PRICE} || ' '"), (7, f"{_LIST_PRICE} || '$'"), (8, "''"),
+        "p_partkey", 23, "price_text",
+        (1, "'$' || price_text"), (2, "replace(price_text, '.', ',')"), (3, "'?'"), (4, "'N/A'"),
+        (5, "'-' || price_text"), (6, "' ' || price_text || ' '"), (7, "price_text || '$'"), (8, "''"),
         (9, "'0'"), (10, "'123456789012.00'"),
     ),
-    "cost": defects("p_partkey", 37, _COST, (1, f"'$' || {_COST}"), (2, "'none'"), (3, "'-1,50'")),
+    "cost": defects("p_partkey", 37, "cost_text", (1, "'$' || cost_text"), (2, "'none'"), (3, "'-1,50'")),
     "stock_quantity": defects("p_partkey", 29, _text("p_size * 10"), (4, "'-5'"), (9, "''"), (14, "' 7'")),
     "weight_kg": defects("p_partkey", 19, f"{_text('p_size')} || '.5'", (0, "'?'"), (1, "'.25'"), (2, "''")),
     "created_date": defects(
-        "p_partkey", 13, _CREATED,
-        (1, f"replace({_CREATED}, '-', '/')"), (2, "'2023-02-30'"), (3, "'bad-date'"), (4, f"' ' || {_CREATED}"),
+        "p_partkey", 13, "created_day",
+        (1, "replace(created_day, '-', '/')"), (2, "'2023-02-30'"), (3, "'bad-date'"), (4, "' ' || created_day"),
     ),
     "is_active": defects(
         "p_partkey", 15, "'TRUE'", (1, "'Yes'"), (2, "'y'"), (3, "'N'"), (4, "'no'"), (5, "'1'"), (6, "'unknown'"), (7, "'False '")
@@ -106,34 +121,34 @@ PRODUCT_TEXT = {
 # Order columns that come from the lines, and those that come from the order headers.
 LINE_TEXT = {
     "order_id": defects(
-        "l_orderkey", 41, _text("l_orderkey * 10 + l_linenumber"),
-        (3, "'BADID'"), (9, f"' ' || {_text('l_orderkey * 10 + l_linenumber')} || ' '"), (17, "'NULL'"),
+        "l_orderkey", 41, "line_id",
+        (3, "'BADID'"), (9, "' ' || line_id || ' '"), (17, "'NULL'"),
         (23, f"'99999' || {_padded('l_orderkey', 9)}"),
     ),
-    "product_id": defects("l_orderkey", 47, product_id("l_partkey"), (11, "'BADID'"), (12, "''"), (13, "'P99999'")),
+    "product_id": defects("l_orderkey", 47, "line_product", (11, "'BADID'"), (12, "''"), (13, "'P99999'")),
     "ship_date": defects(
-        "l_orderkey", 19, _SHIP_DAY,
-        (1, f"replace({_SHIP_DAY}, '-', '/')"), (2, _us(_SHIP_DAY)), (3, f"replace({_us(_SHIP_DAY)}, '-', '/')"), (4, "''"),
+        "l_orderkey", 19, "ship_day",
+        (1, "replace(ship_day, '-', '/')"), (2, _us("ship_day")), (3, f"replace({_us('ship_day')}, '-', '/')"), (4, "''"),
     ),
     "quantity": defects(
         "l_orderkey", 43, _text("cast(l_quantity as int)"), (5, "'0'"), (6, "'-3'"), (7, "'many'"), (8, "'99999999999'")
     ),
     "unit_price": defects(
-        "l_orderkey", 29, _LINE_PRICE,
-        (1, f"'$' || {_LINE_PRICE}"), (2, f"{_LINE_PRICE} || '$'"), (3, f"'-' || {_LINE_PRICE}"), (4, "' '"),
-        (5, f"replace({_LINE_PRICE}, '.', ',')"), (6, "'0'"),
+        "l_orderkey", 29, "line_price",
+        (1, "'$' || line_price"), (2, "line_price || '$'"), (3, "'-' || line_price"), (4, "' '"),
+        (5, "replace(line_price, '.', ',')"), (6, "'0'"),
     ),
     "discount_pct": defects(
-        "l_orderkey", 37, _LINE_PERCENT, (1, f"{_LINE_PERCENT} || '%'"), (2, "'150'"), (3, "'abc'"), (4, "'100'"), (5, "'-1'")
+        "l_orderkey", 37, "line_percent", (1, "line_percent || '%'"), (2, "'150'"), (3, "'abc'"), (4, "'100'"), (5, "'-1'")
     ),
-    "total_amount": defects("l_orderkey", 31, _LINE_PRICE, (1, f"'-' || {_LINE_PRICE}"), (2, "'n/a'"), (3, f"'$' || {_LINE_PRICE}")),
+    "total_amount": defects("l_orderkey", 31, "line_price", (1, "'-' || line_price"), (2, "'n/a'"), (3, "'$' || line_price")),
 }
 
 HEADER_TEXT = {
     "customer_id": defects("o_orderkey", 59, _text("o_custkey"), (1, "'XYZ'"), (2, "''"), (3, "'-5'"), (4, "'123456789012'")),
     "order_date": defects(
-        "o_orderkey", 17, _ORDER_DAY,
-        (1, f"replace({_ORDER_DAY}, '-', '/')"), (2, _us(_ORDER_DAY)), (3, f"replace({_us(_ORDER_DAY)}, '-', '/')"),
+        "o_orderkey", 17, "order_day",
+        (1, "replace(order_day, '-', '/')"), (2, _us("order_day")), (3, f"replace({_us('order_day')}, '-', '/')"),
         (4, "'2023-02-30'"), (5, "'bad-date'"),
     ),
     "payment_method": defects("o_orderkey", 61, "o_orderpriority", (1, "' null '"), (2, "''"), (3, "' ' || o_orderpriority")),
@@ -156,8 +171,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def select_text(df: DataFrame, columns: dict[str, str], *names: str) -> DataFrame:
-    """Raw text columns over a table that has what they need."""
+def select_text(df: DataFrame, columns: dict[str, str], *names: str, bases: str | None = None) -> DataFrame:
+    """Columns given as SQL text over a table that has what they need."""
+    if bases:
+        df = df.selectExpr("*", *[f"{expression} as {name}" for name, expression in BASES[bases].items()])
     return df.selectExpr(*[f"{columns[name]} as {name}" for name in names or columns])
 
 
@@ -175,16 +192,19 @@ def order_rows(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None)
 
 def raw_customers_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw customers as text."""
-    return select_text(customer_rows(spark, sf_dir), CUSTOMER_TEXT)
+    return select_text(customer_rows(spark, sf_dir), CUSTOMER_TEXT, bases="customers")
 
 
 def raw_products_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw products as text."""
-    return select_text(table(spark, sf_dir, "part"), PRODUCT_TEXT)
+    return select_text(table(spark, sf_dir, "part"), PRODUCT_TEXT, bases="products")
 
 
 def _as_csv_reads(name: str, kind: str) -> Column:
-    """What a typed CSV read makes of a token; queries ``src*`` read real files instead."""
+    """What a typed CSV read makes of a token (blank text aside, which curation treats like NULL).
+
+    The queries ``src*`` read real files instead.
+    """
     token = F.col(name)
     match kind:
         case "int":
@@ -196,7 +216,7 @@ def _as_csv_reads(name: str, kind: str) -> Column:
         case "boolean":
             value = F.when(F.lower(token).isin("true", "false"), F.lower(token) == "true")
         case _:
-            value = F.nullif(token, F.lit(""))
+            value = token
     return value.alias(name)
 
 
@@ -216,7 +236,7 @@ def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_orders(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
     """Raw orders, text only."""
-    return select_text(order_rows(spark, sf_dir, lines), ORDER_TEXT)
+    return select_text(order_rows(spark, sf_dir, lines), ORDER_TEXT, bases="orders")
 
 
 # --- well-formed entities, for what comes after curation -------------------------------------

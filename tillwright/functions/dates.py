@@ -6,15 +6,23 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, functions as F
 
-# Accepted day formats after "/" has become "-".
-ISO_DAY = "yyyy-MM-dd"
-US_DAY = "MM-dd-yyyy"
+# Accepted day layouts after "/" has become "-", and how their parts make an ISO day.
+ISO_DAY = (r"^(\d{4})-(\d{2})-(\d{2})$", "$1-$2-$3")
+US_DAY = (r"^(\d{2})-(\d{2})-(\d{4})$", "$3-$1-$2")
 
 
-def standard_date(text: Column, formats: Iterable[str] = (ISO_DAY,)) -> Column:
-    """The date under the first format that fits; impossible dates and other text give NULL."""
+def standard_date(text: Column, layouts: Iterable[tuple[str, str]] = (ISO_DAY,)) -> Column:
+    """The date under the first layout that fits; impossible dates and other text give NULL.
+
+    The text is put in ISO order and cast: unlike a formatter, the cast neither builds nor
+    throws anything for text that is no date.
+    """
     dashed = F.replace(text, F.lit("/"), F.lit("-"))
-    return F.coalesce(*[F.try_to_date(dashed, pattern) for pattern in formats])
+    readings = [
+        F.when(dashed.rlike(shape), (dashed if (shape, order) == ISO_DAY else F.regexp_replace(dashed, shape, order)).try_cast("date"))
+        for shape, order in layouts
+    ]
+    return F.coalesce(*readings)
 
 
 def day_number(day: Column) -> Column:

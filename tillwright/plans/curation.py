@@ -111,8 +111,8 @@ def product_rules() -> dict[str, Column]:
 
 def clean_products(raw: DataFrame) -> DataFrame:
     """One valid row per well-formed product id."""
-    parsed = parse_products(raw).filter(matches(F.col("product_id")))
-    return one_row_per_key(parsed, ["product_id"]).filter(requirement(product_rules()))
+    identified = raw.filter(matches(F.trim("product_id")))
+    return one_row_per_key(parse_products(identified), ["product_id"]).filter(requirement(product_rules()))
 
 
 # --- orders ---------------------------------------------------------------------------------
@@ -140,9 +140,10 @@ def parse_orders(raw: DataFrame, payment_names: Mapping[str, tuple[str, ...]] |
     )
 
 
-def one_order_per_id(parsed: DataFrame) -> DataFrame:
-    """One row per usable order id. Ids are told apart as text, as they were written."""
-    return one_row_per_key(parsed.filter(numeric_id(F.col("order_id")).isNotNull()), ["order_id"])
+def surviving_orders(raw: DataFrame, payment_names: Mapping[str, tuple[str, ...]] | None = None) -> DataFrame:
+    """One parsed row per usable order id. Ids are told apart as text, as they were written."""
+    identified = raw.filter(numeric_id(F.trim("order_id")).isNotNull())
+    return one_row_per_key(parse_orders(identified, payment_names), ["order_id"])
 
 
 def order_rules(statuses: tuple[str, ...] | None = None) -> dict[str, Column]:
@@ -181,10 +182,13 @@ def rejected_orders(survivors: DataFrame, statuses: tuple[str, ...] | None = Non
     return survivors.withColumn("reasons", F.array_compact(F.array(*reasons))).filter(F.size("reasons") > 0)
 
 
-def clean_orders(raw: DataFrame, **options) -> DataFrame:
-    """One valid row per order id; options of :func:`parse_orders` and :func:`valid_orders`."""
-    statuses = options.pop("statuses", None)
-    return valid_orders(one_order_per_id(parse_orders(raw, **options)), statuses)
+def clean_orders(
+    raw: DataFrame,
+    payment_names: Mapping[str, tuple[str, ...]] | None = None,
+    statuses: tuple[str, ...] | None = None,
+) -> DataFrame:
+    """One valid row per order id; for the options see :func:`parse_orders` and :func:`order_rules`."""
+    return valid_orders(surviving_orders(raw, payment_names), statuses)
 
 
 # --- row counts -----------------------------------------------------------------------------

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tillwright.operators.dedup import one_row_per_key
-from tillwright.plans.curation import one_order_per_id, parse_orders, valid_orders
+from tillwright.plans.curation import surviving_orders, valid_orders
 from tillwright.session import scratch_path
 
 BATCH = "batch"
@@ -23,7 +23,7 @@ def start_increments(raw: DataFrame, folder: str, checkpoint: str, **trigger) ->
     """Store the survivors of every micro-batch of the raw order stream under ``folder``."""
 
     def keep(rows: DataFrame, batch: int) -> None:
-        one_order_per_id(parse_orders(rows)).write.mode("overwrite").parquet(f"{folder}/{BATCH}={batch}")
+        surviving_orders(rows).write.mode("overwrite").parquet(f"{folder}/{BATCH}={batch}")
 
     writer = raw.writeStream.foreachBatch(keep).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"availableNow": True})).start()
