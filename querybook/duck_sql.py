@@ -532,6 +532,7 @@ ORACLE["bi8_showable_customers"] = (
 ORACLE["ext1_orders_from_stream"] = ORACLE["cln_orders"]
 ORACLE["ext1_first_arrivals"] = "SELECT event_id, user_id, event_type, value FROM events"
 RULES = {
+    "order id out of range": f"{numeric_id('order_id')} IS NOT NULL",
     "product id malformed": "regexp_full_match(product_id, 'P[0-9]{4}')",
     "quantity not positive": "quantity > 0",
     "unit price negative": "unit_price >= 0",
@@ -541,7 +542,7 @@ RULES = {
 STEPS["reasons"] = (
     "SELECT order_id, concat_ws('; ', "
     + ", ".join(f"case when coalesce({rule}, false) then null else '{reason}' end" for reason, rule in RULES.items())
-    + f") AS reasons FROM single_orders WHERE {numeric_id('order_id')} IS NOT NULL"
+    + ") AS reasons FROM single_orders WHERE regexp_full_match(order_id, '[0-9]+')"
 )
 ORACLE["ext2_rejected_orders"] = "SELECT * FROM reasons WHERE reasons <> ''"
 

@@ -206,8 +206,8 @@ def cln17_whole_number(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def cln18_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     parsed = curation.parse_orders(si.raw_orders(spark, sf_dir))
-    rules = {name: rule for name, rule in curation.order_rules().items() if not name.endswith("missing")}
-    return parsed.filter(curation.requirement(rules))
+    rules = {name: rule for name, rule in curation.order_rules().items() if not name.endswith(("missing", "range"))}
+    return parsed.filter(curation.requirement(rules)).drop("order_number")
 
 
 @query

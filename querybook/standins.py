@@ -27,10 +27,14 @@ def product_id(key: str) -> str:
     return f"case when {key} < 10000 then 'P' || {_padded(key, 4)} else 'P' || {_text(key)} end"
 
 
-def defects(key: str, cycle: int, otherwise: str, *cases: tuple[int, str]) -> str:
-    """``otherwise``, but a defect for keys with the given remainder."""
+def defects(cycle: int, otherwise: str, *cases: tuple[int, str]) -> str:
+    """``otherwise``, but a defect where the key leaves the given remainder (column ``turn<cycle>``)."""
     listed = " ".join(f"when {remainder} then {value}" for remainder, value in cases)
-    return f"case {key} % {cycle} {listed} else {otherwise} end"
+    return f"case turn{cycle} {listed} else {otherwise} end"
+
+
+def _turns(key: str, *cycles: int) -> dict[str, str]:
+    return {f"turn{cycle}": f"{key} % {cycle}" for cycle in cycles}
 
 
 def _us(day: str) -> str:
@@ -40,11 +44,13 @@ def _us(day: str) -> str:
 # Columns that several defects start from, computed once per row below the text itself.
 BASES = {
     "customers": {
+        **_turns("c_custkey", 3, 8, 9, 10, 11, 13, 17, 31, 53),
         "key_text": _text("c_custkey"),
         "key_digits": _padded("c_custkey % 10000", 4),
         "key_day": f"'2023-' || {_padded('1 + c_custkey % 12', 2)} || '-' || {_padded('1 + c_custkey % 28', 2)}",
     },
     "products": {
+        **_turns("p_partkey", 13, 15, 17, 19, 23, 29, 37, 67),
         "own_id": product_id("p_partkey"),
         "previous_id": product_id("(p_partkey - 1)"),
         "price_text": _text("cast(p_retailprice as decimal(10,2))"),
@@ -52,107 +58,111 @@ BASES = {
         "created_day": f"'2022-' || {_padded('1 + p_partkey % 12', 2)} || '-' || {_padded('1 + p_partkey % 28', 2)}",
     },
     "lines": {
+        **_turns("l_orderkey", 19, 29, 31, 37, 41, 43, 47),
         "line_id": _text("l_orderkey * 10 + l_linenumber"),
         "line_product": product_id("l_partkey"),
         "line_price": _text("cast(l_extendedprice as decimal(12,2))"),
         "line_percent": _text("cast(l_discount as decimal(5,2)) * 100"),
         "ship_day": _text("cast(l_shipdate as date)"),
     },
-    "headers": {"order_day": _text("cast(o_orderdate as date)")},
+    "headers": {
+        **_turns("o_orderkey", 17, 59, 61, 67),
+        "order_day": _text("cast(o_orderdate as date)"),
+    },
 }
 BASES["orders"] = BASES["lines"] | BASES["headers"]
 
 
 CUSTOMER_TEXT = {
-    "customer_id": defects("c_custkey", 53, "key_text", (7, _text("c_custkey - 1")), (20, "'XYZ'"), (40, "''")),
-    "first_name": defects("c_custkey", 11, "c_name", (3, "'   '"), (4, "'  ' || c_name || ' '")),
+    "customer_id": defects(53, "key_text", (7, _text("c_custkey - 1")), (20, "'XYZ'"), (40, "''")),
+    "first_name": defects(11, "c_name", (3, "'   '"), (4, "'  ' || c_name || ' '")),
     "last_name": "c_mktsegment",
     "email": defects(
-        "c_custkey", 9, "'user' || key_text || '@example.com'",
+        9, "'user' || key_text || '@example.com'",
         (1, "'user' || key_text || 'example.com'"),
         (2, "' User' || key_text || '@Shop.Example.COM '"),
         (3, "'user@@example.com'"), (4, "'user@example'"),
     ),
     "phone": defects(
-        "c_custkey", 8, "'612555' || key_digits",
+        8, "'612555' || key_digits",
         (1, "'(612)555-' || key_digits"),
         (2, "'+1 612 555 ' || key_digits"),
         (3, "'abc' || key_text"), (4, "''"),
     ),
     "signup_date": defects(
-        "c_custkey", 13, "key_day",
+        13, "key_day",
         (2, "replace(key_day, '-', '/')"), (5, "'2023-04-31'"), (6, "'2023-1-5'"), (7, "'notadate'"),
     ),
     "country": "case c_nationkey when 0 then 'usa' when 1 then 'U.S.A.' when 2 then 'United States' "
     "when 3 then 'US' when 4 then 'CANADA' when 5 then 'mexico' else n_name end",
-    "state": defects("c_custkey", 3, "' ' || r_name || ' '", (0, "lower(r_name)")),
-    "postal_code": defects("c_custkey", 17, _padded("c_custkey % 100000", 5), (6, "''")),
+    "state": defects(3, "' ' || r_name || ' '", (0, "lower(r_name)")),
+    "postal_code": defects(17, _padded("c_custkey % 100000", 5), (6, "''")),
     "is_active": defects(
-        "c_custkey", 10, "'true'", (0, "'TRUE'"), (1, "'False'"), (2, "'FALSE'"), (3, "'Yes'"), (4, "'1'")
+        10, "'true'", (0, "'TRUE'"), (1, "'False'"), (2, "'FALSE'"), (3, "'Yes'"), (4, "'1'")
     ),
-    "loyalty_points": defects("c_custkey", 31, _text("cast(floor(c_acctbal) as int)"), (9, "'abc'")),
+    "loyalty_points": defects(31, _text("cast(floor(c_acctbal) as int)"), (9, "'abc'")),
 }
 
 PRODUCT_TEXT = {
     "product_id": defects(
-        "p_partkey", 67, "own_id", (5, "previous_id"), (20, "'BADID'"), (33, "' ' || own_id || ' '"), (50, "''")
+        67, "own_id", (5, "previous_id"), (20, "'BADID'"), (33, "' ' || own_id || ' '"), (50, "''")
     ),
     "product_name": "p_name",
     "category": "p_type",
-    "brand": defects("p_partkey", 17, "p_brand", (3, "' '")),
+    "brand": defects(17, "p_brand", (3, "' '")),
     "price": defects(
-        "p_partkey", 23, "price_text",
+        23, "price_text",
         (1, "'$' || price_text"), (2, "replace(price_text, '.', ',')"), (3, "'?'"), (4, "'N/A'"),
         (5, "'-' || price_text"), (6, "' ' || price_text || ' '"), (7, "price_text || '$'"), (8, "''"),
         (9, "'0'"), (10, "'123456789012.00'"),
     ),
-    "cost": defects("p_partkey", 37, "cost_text", (1, "'$' || cost_text"), (2, "'none'"), (3, "'-1,50'")),
-    "stock_quantity": defects("p_partkey", 29, _text("p_size * 10"), (4, "'-5'"), (9, "''"), (14, "' 7'")),
-    "weight_kg": defects("p_partkey", 19, f"{_text('p_size')} || '.5'", (0, "'?'"), (1, "'.25'"), (2, "''")),
+    "cost": defects(37, "cost_text", (1, "'$' || cost_text"), (2, "'none'"), (3, "'-1,50'")),
+    "stock_quantity": defects(29, _text("p_size * 10"), (4, "'-5'"), (9, "''"), (14, "' 7'")),
+    "weight_kg": defects(19, f"{_text('p_size')} || '.5'", (0, "'?'"), (1, "'.25'"), (2, "''")),
     "created_date": defects(
-        "p_partkey", 13, "created_day",
+        13, "created_day",
         (1, "replace(created_day, '-', '/')"), (2, "'2023-02-30'"), (3, "'bad-date'"), (4, "' ' || created_day"),
     ),
     "is_active": defects(
-        "p_partkey", 15, "'TRUE'", (1, "'Yes'"), (2, "'y'"), (3, "'N'"), (4, "'no'"), (5, "'1'"), (6, "'unknown'"), (7, "'False '")
+        15, "'TRUE'", (1, "'Yes'"), (2, "'y'"), (3, "'N'"), (4, "'no'"), (5, "'1'"), (6, "'unknown'"), (7, "'False '")
     ),
 }
 
 # Order columns that come from the lines, and those that come from the order headers.
 LINE_TEXT = {
     "order_id": defects(
-        "l_orderkey", 41, "line_id",
+        41, "line_id",
         (3, "'BADID'"), (9, "' ' || line_id || ' '"), (17, "'NULL'"),
         (23, f"'99999' || {_padded('l_orderkey', 9)}"),
     ),
-    "product_id": defects("l_orderkey", 47, "line_product", (11, "'BADID'"), (12, "''"), (13, "'P99999'")),
+    "product_id": defects(47, "line_product", (11, "'BADID'"), (12, "''"), (13, "'P99999'")),
     "ship_date": defects(
-        "l_orderkey", 19, "ship_day",
-        (1, "replace(ship_day, '-', '/')"), (2, _us("ship_day")), (3, f"replace({_us('ship_day')}, '-', '/')"), (4, "''"),
+        19, "ship_day",
+        (1, "replace(ship_day, '-', '/')"), (2, _us("ship_day")), (4, "''"),
     ),
     "quantity": defects(
-        "l_orderkey", 43, _text("cast(l_quantity as int)"), (5, "'0'"), (6, "'-3'"), (7, "'many'"), (8, "'99999999999'")
+        43, _text("cast(l_quantity as int)"), (5, "'0'"), (6, "'-3'"), (7, "'many'"), (8, "'99999999999'")
     ),
     "unit_price": defects(
-        "l_orderkey", 29, "line_price",
+        29, "line_price",
         (1, "'$' || line_price"), (2, "line_price || '$'"), (3, "'-' || line_price"), (4, "' '"),
         (5, "replace(line_price, '.', ',')"), (6, "'0'"),
     ),
     "discount_pct": defects(
-        "l_orderkey", 37, "line_percent", (1, "line_percent || '%'"), (2, "'150'"), (3, "'abc'"), (4, "'100'"), (5, "'-1'")
+        37, "line_percent", (1, "line_percent || '%'"), (2, "'150'"), (3, "'abc'"), (4, "'100'"), (5, "'-1'")
     ),
-    "total_amount": defects("l_orderkey", 31, "line_price", (1, "'-' || line_price"), (2, "'n/a'"), (3, "'$' || line_price")),
+    "total_amount": defects(31, "line_price", (1, "'-' || line_price"), (2, "'n/a'"), (3, "'$' || line_price")),
 }
 
 HEADER_TEXT = {
-    "customer_id": defects("o_orderkey", 59, _text("o_custkey"), (1, "'XYZ'"), (2, "''"), (3, "'-5'"), (4, "'123456789012'")),
+    "customer_id": defects(59, _text("o_custkey"), (1, "'XYZ'"), (2, "''"), (3, "'-5'"), (4, "'123456789012'")),
     "order_date": defects(
-        "o_orderkey", 17, "order_day",
+        17, "order_day",
         (1, "replace(order_day, '-', '/')"), (2, _us("order_day")), (3, f"replace({_us('order_day')}, '-', '/')"),
         (4, "'2023-02-30'"), (5, "'bad-date'"),
     ),
-    "payment_method": defects("o_orderkey", 61, "o_orderpriority", (1, "' null '"), (2, "''"), (3, "' ' || o_orderpriority")),
-    "order_status": defects("o_orderkey", 67, "o_orderstatus", (1, "'NULL'")),
+    "payment_method": defects(61, "o_orderpriority", (1, "' null '"), (2, "''"), (3, "' ' || o_orderpriority")),
+    "order_status": defects(67, "o_orderstatus", (1, "'NULL'")),
 }
 
 ORDER_COLUMNS = [field.split()[0] for field in schemas.ORDERS_RAW.split(",")]

@@ -119,7 +119,10 @@ def clean_products(raw: DataFrame) -> DataFrame:
 
 
 def parse_orders(raw: DataFrame, payment_names: Mapping[str, tuple[str, ...]] | None = None) -> DataFrame:
-    """Every column of the raw orders under its rule; ``order_id`` is still text.
+    """Every column of the raw orders under its rule.
+
+    ``order_id`` stays text, because ids are told apart as they were written; ``order_number`` is its
+    integer, NULL when the id is none.
 
     ``payment_names`` optionally maps spellings of payment methods to one name. By default
     the methods stay as written.
@@ -128,6 +131,7 @@ def parse_orders(raw: DataFrame, payment_names: Mapping[str, tuple[str, ...]] |
     method = F.col("payment_method")
     return text.withColumns(
         {
+            "order_number": numeric_id(F.col("order_id")),
             "customer_id": numeric_id(F.col("customer_id")),
             "order_date": standard_date(F.col("order_date"), (ISO_DAY, US_DAY)),
             "ship_date": standard_date(F.col("ship_date"), (ISO_DAY, US_DAY)),
@@ -141,8 +145,8 @@ def parse_orders(raw: DataFrame, payment_names: Mapping[str, tuple[str, ...]] |
 
 
 def surviving_orders(raw: DataFrame, payment_names: Mapping[str, tuple[str, ...]] | None = None) -> DataFrame:
-    """One parsed row per usable order id. Ids are told apart as text, as they were written."""
-    identified = raw.filter(numeric_id(F.trim("order_id")).isNotNull())
+    """One parsed row per order id of digits; other rows cannot become orders."""
+    identified = raw.filter(F.trim("order_id").rlike(r"^\d+$"))
     return one_row_per_key(parse_orders(identified, payment_names), ["order_id"])
 
 
@@ -150,6 +154,7 @@ def order_rules(statuses: tuple[str, ...] | None = None) -> dict[str, Column]:
     """What a curated order must satisfy; ``statuses`` optionally limits the order status."""
     present = ("customer_id", "order_date", "ship_date", "payment_method", "order_status")
     rules = {
+        "order id out of range": F.col("order_number").isNotNull(),
         "product id malformed": matches(F.col("product_id")),
         "quantity not positive": F.col("quantity") > 0,
         "unit price negative": F.col("unit_price") >= 0,
@@ -168,9 +173,9 @@ def valid_orders(survivors: DataFrame, statuses: tuple[str, ...] | None = None)
     The total that came with the order only serves as a rule.
     """
     total = line_total(F.col("quantity"), F.col("unit_price"), F.col("discount_pct"))
-    kept = [name for name in survivors.columns if name not in ("order_id", "total_amount")]
+    kept = [name for name in survivors.columns if name not in ("order_id", "order_number", "total_amount")]
     return survivors.filter(requirement(order_rules(statuses))).select(
-        numeric_id(F.col("order_id")).alias("order_id"), *kept, total.alias("total_amount")
+        F.col("order_number").alias("order_id"), *kept, total.alias("total_amount")
     )
 
 
@@ -179,7 +184,8 @@ def rejected_orders(survivors: DataFrame, statuses: tuple[str, ...] | None = Non
     reasons = [
         F.when(~F.coalesce(rule, F.lit(False)), F.lit(reason)) for reason, rule in order_rules(statuses).items()
     ]
-    return survivors.withColumn("reasons", F.array_compact(F.array(*reasons))).filter(F.size("reasons") > 0)
+    flagged = survivors.withColumn("reasons", F.array_compact(F.array(*reasons))).drop("order_number")
+    return flagged.filter(F.size("reasons") > 0)
 
 
 def clean_orders(
