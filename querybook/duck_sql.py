@@ -378,6 +378,7 @@ ORACLE["ag3_executive_kpis"] = (
 )
 PARTS = "full_date, year, quarter, month_number, month_name"
 ORACLE["ag4_daily_sales"] = f"SELECT {PARTS}, {measures()} FROM fact_sales JOIN dim_date USING (date_key) GROUP BY {PARTS}"
+ORACLE["ord1_days_in_order"] = ORACLE["ag4_daily_sales"] + " ORDER BY full_date"
 STEPS["by_category"] = f"SELECT category, {measures()} FROM fact_sales JOIN dim_product USING (product_key) GROUP BY category"
 ORACLE["ag5_category_performance"] = f"SELECT *, {SUM_MARGIN} AS profit_margin_pct FROM by_category"
 PRODUCT_PARTS = "p.product_id, p.product_name, p.category, p.brand"
@@ -437,11 +438,16 @@ def unknown(table: str, step: str, key: str, parent: str) -> str:
 
 ORACLE["dq1_row_counts"] = counts(
     customers="known_customers", products="known_products", orders="all_orders", sales_curated="sales",
-    category_summary="category_summary", payment_summary="payment_summary", margin="margin", dim_date="dim_date",
+    category_summary="category_summary", payment_summary="payment_summary", margin="margin",
+)
+ORACLE["dq1_gold_row_counts"] = counts(
+    dim_customer="dim_customer", dim_product="dim_product", dim_date="dim_date", fact_sales="fact_sales"
 )
 ORACLE["dq2_repeated_customers"] = (
     "SELECT customer_id, count(*) AS duplicate_count FROM typed_customers GROUP BY customer_id HAVING count(*) > 1"
 )
+for query, step, key in (("dq2_repeated_products", "parsed_products", "product_id"), ("dq2_repeated_orders", "bare_orders", "order_id")):
+    ORACLE[query] = f"SELECT {key}, count(*) AS duplicate_count FROM {step} GROUP BY {key} HAVING count(*) > 1"
 ORACLE["dq3_missing_keys"] = checks(
     *empty("customers", "typed_customers", "customer_id"),
     *empty("products", "parsed_products", "product_id"),
@@ -472,6 +478,7 @@ ORACLE["dq8_orphan_customers"] = (
 ORACLE["dq8_orphan_product_keys"] = (
     "SELECT DISTINCT f.product_key FROM fact_sales f LEFT JOIN dim_product p ON f.product_key = p.product_key WHERE p.product_key IS NULL"
 )
+ORACLE["dq9_product_listing"] = "SELECT product_id, product_name, category FROM known_products ORDER BY product_id"
 ORACLE["dq_full_report"] = checks(
     repeated("customers", "known_customers", "customer_id"),
     repeated("products", "known_products", "product_id"),

@@ -445,6 +445,11 @@ def dim5_order_statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- ordered reports, set operations, subqueries ----------------------------------------------
 
 
+@query
+def ord1_days_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ag4_daily_sales(spark, sf_dir).orderBy("full_date")
+
+
 @query
 def ord2_products_by_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked(ag6_product_performance(spark, sf_dir), "revenue", "product_id")
@@ -491,7 +496,18 @@ def dq1_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
             "category_summary": sales.category_summary(sold),
             "payment_summary": sales.payment_summary(sold),
             "margin": sales.margins(sold),
-            "dim_date": star.date_dimension(sold),
+        }
+    )
+
+
+@query
+def dq1_gold_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return row_counts(
+        {
+            "dim_customer": _dim_customer(spark, sf_dir),
+            "dim_product": _dim_product(spark, sf_dir),
+            "dim_date": _dim_date(spark, sf_dir),
+            "fact_sales": _fact(spark, sf_dir),
         }
     )
 
@@ -501,6 +517,16 @@ def dq2_repeated_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return duplicate_keys(si.raw_customers(spark, sf_dir), "customer_id")
 
 
+@query
+def dq2_repeated_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return duplicate_keys(curation.parse_products(si.raw_products(spark, sf_dir)), "product_id")
+
+
+@query
+def dq2_repeated_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return duplicate_keys(curation.without_tokens(si.raw_orders(spark, sf_dir)), "order_id")
+
+
 @query
 def dq3_missing_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     layer = {
@@ -550,6 +576,11 @@ def dq8_orphan_product_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orphan_keys(fact, dimension, "product_key")
 
 
+@query
+def dq9_product_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _known_products(spark, sf_dir).select("product_id", "product_name", "category").orderBy("product_id")
+
+
 @query
 def dq_full_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     sold = _sales(spark, sf_dir)
@@ -607,7 +638,7 @@ def bi6_segment_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def bi7_customer_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dashboard.customer_activity(*_fact_by_customer(spark, sf_dir))
+    return dashboard.customer_activity(*_fact_by_customer(spark, sf_dir), _dim_date(spark, sf_dir))
 
 
 @query

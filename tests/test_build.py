@@ -174,7 +174,7 @@ def test_dashboard(layers):
     assert {row.customer_id: row.segment for row in segments.collect()} == {
         1: "High Value", 2: "Medium Value", 3: "Low Value",
     }
-    activity = {row.customer_id: row.days_since_last_order for row in dashboard.customer_activity(fact, customers).collect()}
+    activity = {row.customer_id: row.days_since_last_order for row in dashboard.customer_activity(fact, customers, gold["dim_date"]).collect()}
     assert activity == {1: 0, 2: 26, 3: 25}
     assert tuple(dashboard.customer_counts(customers).first()) == (3, 2, 1)
     shown = dashboard.showable_customers(customers)

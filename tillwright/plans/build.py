@@ -18,10 +18,10 @@ Layer = dict[str, DataFrame]
 def build_curated(
     customers: DataFrame, products: DataFrame, orders: DataFrame, namespace: str, provider: str = "parquet"
 ) -> Layer:
-    """The seven curated tables from the three raw frames.
+    """The seven curated tables from clean entities (or stored increments of them).
 
-    The raw orders are shuffled once by order id and joined once: the table of referenced orders
-    and all marts are read back out of the stored sales.
+    The orders are joined once: the table of referenced orders and all marts are read back out of
+    the stored sales.
     """
     layer: Layer = {}
 
@@ -29,12 +29,9 @@ def build_curated(
         layer[name] = save_table(df, f"{namespace}.{name}", provider)
         return layer[name]
 
-    known_customers = keep("customers", curation.clean_customers(customers))
-    known_products = keep("products", curation.clean_products(products))
-    sold = keep(
-        "sales_curated",
-        sales.enriched_sales(curation.clean_orders(orders), known_customers, known_products),
-    )
+    known_customers = keep("customers", customers)
+    known_products = keep("products", products)
+    sold = keep("sales_curated", sales.enriched_sales(orders, known_customers, known_products))
     keep("orders", sales.orders_of(sold))
     keep("margin", sales.margins(sold))
     keep("category_summary", sales.category_summary(sold))
@@ -93,10 +90,15 @@ def build(
     gold: str = "gold",
     provider: str = "parquet",
 ) -> tuple[Layer, Layer]:
-    """Run everything; raises when a check fails, after the tables are written."""
+    """Run everything on raw frames; raises when a check fails, after the tables are written."""
     for namespace in (curated, gold):
         ensure_namespace(spark, namespace)
-    curated_layer = build_curated(customers, products, orders, curated, provider)
+    clean = (
+        curation.clean_customers(customers),
+        curation.clean_products(products),
+        curation.clean_orders(orders),
+    )
+    curated_layer = build_curated(*clean, curated, provider)
     gold_layer = build_gold(curated_layer, gold, provider)
     publish_reports(gold_layer)
     enforce(quality_report(curated_layer, gold_layer))

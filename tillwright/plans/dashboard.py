@@ -83,9 +83,12 @@ def segment_revenue(segments: DataFrame) -> DataFrame:
     )
 
 
-def customer_activity(fact: DataFrame, customers: DataFrame) -> DataFrame:
-    """Orders, last order and days since then, up to the latest order date of all."""
-    latest = fact.agg(F.max("order_date")).scalar()
+def customer_activity(fact: DataFrame, customers: DataFrame, dates: DataFrame) -> DataFrame:
+    """Orders, last order and days since then, up to the latest day with an order.
+
+    The latest day comes from the date dimension, which spares a second scan of the fact.
+    """
+    latest = dates.agg(F.max("full_date")).scalar()
     per_customer = fact.groupBy("customer_key").agg(
         F.count_distinct("order_id").alias("total_orders"), F.max("order_date").alias("last_order_date")
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -43,9 +44,12 @@ def shared_dir(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="tillwright-")
-    spark.conf.set(CHECKPOINT_DIR, folder)
-    return folder
+    return _local_dir(spark.sparkContext.applicationId)
+
+
+@functools.cache
+def _local_dir(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"tillwright-{application}-")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
