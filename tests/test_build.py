@@ -93,6 +93,13 @@ def test_options(shop):
     assert {row.order_status for row in some.collect()} == {"Delivered", "Shipped"}
 
 
+def test_wide_ids(shop):
+    wide = curation.clean_orders(shop[2], id_type="bigint")
+    assert dict(wide.dtypes)["order_id"] == dict(wide.dtypes)["customer_id"] == "bigint"
+    assert wide.filter("order_id = 999999999999").count() == 1
+    assert wide.count() == 8
+
+
 def test_funnel(shop):
     stages = {
         "customers": (shop[0], curation.clean_customers(shop[0])),

@@ -7,6 +7,7 @@ from pyspark.sql import Column, functions as F
 # Result types.
 MONEY = "decimal(10,2)"
 PERCENT = "decimal(5,2)"
+ID = "int"
 
 
 def list_price(text: Column) -> Column:
@@ -35,9 +36,9 @@ def whole_number(text: Column) -> Column:
     return text.try_cast("int")
 
 
-def numeric_id(text: Column) -> Column:
+def numeric_id(text: Column, kind: str = ID) -> Column:
     """An id of digits only, as an integer; signs, letters and overflow give NULL."""
-    return F.when(text.rlike(r"^\d+$"), text.try_cast("int"))
+    return F.when(text.rlike(r"^\d+$"), text.try_cast(kind))
 
 
 def at_least_zero(number: Column) -> Column:

@@ -89,14 +89,18 @@ def build(
     curated: str = "curated",
     gold: str = "gold",
     provider: str = "parquet",
+    **order_options,
 ) -> tuple[Layer, Layer]:
-    """Run everything on raw frames; raises when a check fails, after the tables are written."""
+    """Run everything on raw frames; raises when a check fails, after the tables are written.
+
+    ``order_options`` are those of :func:`curation.clean_orders`.
+    """
     for namespace in (curated, gold):
         ensure_namespace(spark, namespace)
     clean = (
         curation.clean_customers(customers),
         curation.clean_products(products),
-        curation.clean_orders(orders),
+        curation.clean_orders(orders, **order_options),
     )
     curated_layer = build_curated(*clean, curated, provider)
     gold_layer = build_gold(curated_layer, gold, provider)

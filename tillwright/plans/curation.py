@@ -16,7 +16,7 @@ from pyspark.sql.types import StringType
 from tillwright.functions.dates import ISO_DAY, US_DAY, standard_date
 from tillwright.functions.measures import line_total
 from tillwright.functions.numbers import (
-    at_least_zero, list_price, numeric_id, order_price, percentage, plain_money, whole_number,
+    ID, at_least_zero, list_price, numeric_id, order_price, percentage, plain_money, whole_number,
 )
 from tillwright.functions.text import (
     NULL_TOKENS, NUMBER_PLACEHOLDERS, blank_to_null, canonical, email_address, matches, phone_number,
@@ -118,21 +118,23 @@ def clean_products(raw: DataFrame) -> DataFrame:
 # --- orders ---------------------------------------------------------------------------------
 
 
-def parse_orders(raw: DataFrame, payment_names: Mapping[str, tuple[str, ...]] | None = None) -> DataFrame:
+def parse_orders(
+    raw: DataFrame, payment_names: Mapping[str, tuple[str, ...]] | None = None, id_type: str = ID
+) -> DataFrame:
     """Every column of the raw orders under its rule.
 
     ``order_id`` stays text, because ids are told apart as they were written; ``order_number`` is its
     integer, NULL when the id is none.
 
     ``payment_names`` optionally maps spellings of payment methods to one name. By default
-    the methods stay as written.
+    the methods stay as written. ``id_type`` is ``bigint`` for shops with more ids than ``int`` holds.
     """
     text = without_tokens(raw)
     method = F.col("payment_method")
     return text.withColumns(
         {
-            "order_number": numeric_id(F.col("order_id")),
-            "customer_id": numeric_id(F.col("customer_id")),
+            "order_number": numeric_id(F.col("order_id"), id_type),
+            "customer_id": numeric_id(F.col("customer_id"), id_type),
             "order_date": standard_date(F.col("order_date"), (ISO_DAY, US_DAY)),
             "ship_date": standard_date(F.col("ship_date"), (ISO_DAY, US_DAY)),
             "quantity": whole_number(F.col("quantity")),
@@ -144,10 +146,12 @@ def parse_orders(raw: DataFrame, payment_names: Mapping[str, tuple[str, ...]] |
     )
 
 
-def surviving_orders(raw: DataFrame, payment_names: Mapping[str, tuple[str, ...]] | None = None) -> DataFrame:
+def surviving_orders(
+    raw: DataFrame, payment_names: Mapping[str, tuple[str, ...]] | None = None, id_type: str = ID
+) -> DataFrame:
     """One parsed row per order id of digits; other rows cannot become orders."""
     identified = raw.filter(F.trim("order_id").rlike(r"^\d+$"))
-    return one_row_per_key(parse_orders(identified, payment_names), ["order_id"])
+    return one_row_per_key(parse_orders(identified, payment_names, id_type), ["order_id"])
 
 
 def order_rules(statuses: tuple[str, ...] | None = None) -> dict[str, Column]:
@@ -192,9 +196,10 @@ def clean_orders(
     raw: DataFrame,
     payment_names: Mapping[str, tuple[str, ...]] | None = None,
     statuses: tuple[str, ...] | None = None,
+    id_type: str = ID,
 ) -> DataFrame:
     """One valid row per order id; for the options see :func:`parse_orders` and :func:`order_rules`."""
-    return valid_orders(surviving_orders(raw, payment_names), statuses)
+    return valid_orders(surviving_orders(raw, payment_names, id_type), statuses)
 
 
 # --- row counts -----------------------------------------------------------------------------
