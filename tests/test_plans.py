@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from querybook.spark_queries import QUERIES
 from tillwright import session
+from tillwright.operators.checks import BadRows, SameTotal, report
 from tillwright.operators.dedup import one_row_per_key
 from tillwright.operators.keys import dense_key
 from tillwright.plans import curation, reports, sales, star
@@ -84,6 +85,15 @@ def test_dense_key_keeps_rows_out_of_one_task(sold):
     assert text.count("Exchange SinglePartition") == 1
 
 
+def test_row_checks_share_one_scan_per_table(sold):
+    tables = {"orders": sold["orders"], "again": sold["orders"]}
+    checks = [BadRows(f"{name} is null", "orders", F.col(name).isNull()) for name in ("order_id", "customer_id", "product_id")]
+    checks += [SameTotal("rows differ", "orders", "again", F.count("*")), SameTotal("units differ", "again", "orders", F.sum("quantity"))]
+    outcome = report(tables, checks)
+    assert plan(outcome, "simple").count("FileScan") == 2
+    assert all(row.passed for row in outcome.collect()) and outcome.count() == 5
+
+
 def test_dedup_reduces_before_the_shuffle(sold, spark):
     """Every task sends at most one row of a hot key."""
     copies = sold["orders"].withColumn("order_id", F.lit("same"))

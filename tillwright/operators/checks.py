@@ -9,8 +9,13 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tillwright.operators.references import orphan_keys
+
 Tables = Mapping[str, DataFrame]
 
+# Totals are compared as numbers of this type.
+COMPARED = "decimal(38,6)"
+
 
 @dataclass(frozen=True)
 class BadRows:
@@ -42,7 +47,7 @@ class KnownKey:
 
 @dataclass(frozen=True)
 class SameTotal:
-    """``total`` must be equal on both tables; a difference is one failure."""
+    """The number ``total`` must be equal, to six decimals, on both tables; a difference is one failure."""
 
     name: str
     table: str
@@ -80,23 +85,22 @@ def side_by_side(left: DataFrame, right: DataFrame, total: Column, left_name: st
 def report(tables: Tables, checks: Iterable[Check]) -> DataFrame:
     """``(check_name, table_name, failed_rows, passed)`` for every check, lazily.
 
-    All :class:`BadRows` checks on a table share one scan of it.
+    All that :class:`BadRows` and :class:`SameTotal` need of a table is aggregated in one scan of it.
+    A check is identified by its name and table.
     """
-    row_checks: dict[str, list[BadRows]] = defaultdict(list)
+    needed: dict[str, list[tuple[Check, str, Column]]] = defaultdict(list)
     parts = []
     for check in checks:
-        if isinstance(check, BadRows):
-            row_checks[check.table].append(check)
-        else:
-            failures = _failures(tables, check)
-            parts.append(failures.select(F.lit(check.name).alias("check_name"), F.lit(check.table).alias("table_name"), "failed_rows"))
-    for table, group in row_checks.items():
-        counted = tables[table].agg(*[F.count_if(check.condition).alias(check.name) for check in group])
-        parts.append(
-            counted.unpivot([], [check.name for check in group], "check_name", "failed_rows").select(
-                "check_name", F.lit(table).alias("table_name"), "failed_rows"
-            )
-        )
+        match check:
+            case BadRows():
+                needed[check.table].append((check, "bad", F.count_if(check.condition)))
+            case SameTotal():
+                needed[check.table].append((check, "here", check.total))
+                needed[check.other].append((check, "there", check.total))
+            case _:
+                parts.append(_failed_keys(tables, check))
+    if needed:
+        parts.append(_failed_measures(_stacked(_measured(tables[name], listed) for name, listed in needed.items())))
     return _stacked(parts).withColumn("passed", F.col("failed_rows") == 0)
 
 
@@ -108,18 +112,39 @@ def enforce(outcome: DataFrame) -> None:
         raise ValueError(f"data-quality checks failed: {listed}")
 
 
-def _failures(tables: Tables, check: Check) -> DataFrame:
+def _measured(df: DataFrame, listed: list[tuple[Check, str, Column]]) -> DataFrame:
+    """One scan of a table; one row per measure."""
+    measures = [measure.cast(COMPARED).alias(f"m{place}") for place, (_, _, measure) in enumerate(listed)]
+    rows = [
+        F.struct(
+            F.lit(check.name).alias("check_name"),
+            F.lit(check.table).alias("table_name"),
+            F.lit(side).alias("side"),
+            F.col(f"m{place}").alias("measured"),
+        )
+        for place, (check, side, _) in enumerate(listed)
+    ]
+    return df.agg(*measures).select(F.inline(F.array(*rows)))
+
+
+def _failed_measures(measured: DataFrame) -> DataFrame:
+    bad, here, there = (F.max(F.when(F.col("side") == side, F.col("measured"))) for side in ("bad", "here", "there"))
+    differs = (~here.eqNullSafe(there)).cast("bigint")
+    return measured.groupBy("check_name", "table_name").agg(F.coalesce(bad.cast("bigint"), differs).alias("failed_rows"))
+
+
+def _failed_keys(tables: Tables, check: Check) -> DataFrame:
     df = tables[check.table]
     match check:
         case UniqueKey():
-            return duplicate_keys(df, check.key).agg(F.count("*").alias("failed_rows"))
+            failed = duplicate_keys(df, check.key)
         case KnownKey():
-            keys, known = df.select(check.key).distinct(), tables[check.parent].select(check.key)
-            return keys.join(known, check.key, "left_anti").agg(F.count("*").alias("failed_rows"))
-        case SameTotal():
-            both = side_by_side(df, tables[check.other], check.total, "here", "there")
-            return both.select((~F.col("here").eqNullSafe(F.col("there"))).cast("bigint").alias("failed_rows"))
-    raise TypeError(f"not a check: {check!r}")
+            failed = orphan_keys(df, tables[check.parent], check.key)
+        case _:
+            raise TypeError(f"not a check: {check!r}")
+    return failed.agg(F.count("*").alias("failed_rows")).select(
+        F.lit(check.name).alias("check_name"), F.lit(check.table).alias("table_name"), "failed_rows"
+    )
 
 
 def _stacked(parts: Iterable[DataFrame]) -> DataFrame:
