@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tillwright.llm import bpe, token_files
+from tillwright.llm import bpe, fingerprints, near_duplicates, repeats, sql, token_files, url_lists
 from tillwright.session import scratch_path
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -15,6 +16,49 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_minhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose four-word shingles agree to 80 per cent."""
+    return near_duplicates.near_duplicates(documents(spark, sf_dir), words=4, percent=80)
+
+
+def url_changes(captures: DataFrame) -> DataFrame:
+    """Dated changes of two lists made from the captured urls: hosts, first path segments and whole addresses.
+
+    Digits of an entry's hash decide whether it is listed and when it is added, removed and added again.
+    """
+    url = F.col("url")
+    found = captures.select(url_lists.host(url).alias("host"), url_lists.segments(url).alias("parts"), url_lists.address(url).alias("address")).where("host <> ''")
+    named = (
+        found.selectExpr("'block' AS list", "'domain' AS kind", "host AS entry", "6 AS below").distinct()
+        .union(found.where("size(parts) > 0").selectExpr("'allow'", "'prefix'", "concat(host, '/', parts[0])", "4").distinct())
+        .union(found.selectExpr("'block'", "'url'", "address", "1").distinct())
+    )
+    digits = [F.instr(F.lit("0123456789abcdef"), F.substring(F.md5(F.col("entry").cast("binary")), n, 1)) - 1 for n in (1, 2, 3, 4)]
+    listed = named.select("list", "kind", "entry", "below", *(digit.alias(f"d{n}") for n, digit in enumerate(digits, 1))).where("d1 < below")
+
+    def change(action: str, days: str, rows: DataFrame) -> DataFrame:
+        return rows.select("list", "kind", "entry", F.lit(action).alias("action"), F.expr(f"date_add(DATE'2024-01-01', {days})").alias("changed_on"))
+
+    return (
+        change("add", "20 * d2", listed)
+        .union(change("remove", "20 * d2 + 15 * d3", listed))
+        .union(change("add", "20 * d2 + 15 * d3 + 60", listed.where("d4 < 8")))
+    )
+
+
+def op2_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page judged by the list entries active on the day it was fetched, which its id decides."""
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    captures = pages.select("page_id", "url", F.expr("date_add(DATE'2024-01-01', CAST(page_id % 366 AS INT))").alias("fetched_on"))
+    intervals = url_lists.validity_intervals(url_changes(captures))
+    return url_lists.judged(captures, intervals, "page_id", "url", "fetched_on")
+
+
+def op3_repeated_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes covered by 400-byte strings that occur more than once, removed."""
+    return repeats.repeat_digests(documents(spark, sf_dir)).drop("spans")
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids written in Huffman-coded files and read back."""
     folder = scratch_path(spark, "token-files")
@@ -22,11 +66,24 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.digests(spark, folder)
 
 
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sketches of all texts, of their edits and of the texts that follow."""
+    return fingerprints.edited_fingerprints(documents(spark, sf_dir))
+
+
 def op8_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text encoded in merge rounds and decoded again."""
     return bpe.round_trip_digests(documents(spark, sf_dir), VOCABULARY)
 
 
-QUERIES = {query.__name__: query for query in (op6_token_files, op8_bpe_round_trip)}
+QUERIES = {
+    query.__name__: query
+    for query in (op1_minhash_near_duplicates, op2_url_lists, op3_repeated_windows, op6_token_files, op7_fingerprints, op8_bpe_round_trip)
+}
 
-ORACLE: dict[str, str] = {}
+ORACLE = {
+    "op1_minhash_near_duplicates": sql.NEAR_DUPLICATES,
+    "op2_url_lists": sql.URL_LISTS,
+    "op3_repeated_windows": sql.REPEATS,
+    "op7_fingerprints": sql.FINGERPRINTS,
+}
