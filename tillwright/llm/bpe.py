@@ -17,28 +17,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import regex
 from pyspark.sql import DataFrame
 
 from tillwright.llm.rows import keyed, rekeyed
-from tillwright.llm.tokens import PieceTable, share_definition, special_tokens, stretches, table_of, texts_of
+from tillwright.llm.tokens import PieceTable, by_words, byte_letters, share_definition, special_tokens, stretches, table_of, texts_of
 
-#: The word pattern of the byte-level pre-tokenizer.
-WORDS = regex.compile(
-    r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
-    r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
-)
 _NONE = np.iinfo(np.int32).max
 
 
-def byte_letters() -> dict[str, int]:
-    """The letter that stands for each byte in a vocabulary file: itself if it is visible."""
-    visible = [*range(ord("!"), ord("~") + 1), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    letters = {chr(byte): byte for byte in visible}
-    others = (byte for byte in range(256) if byte not in set(visible))
-    return letters | {chr(256 + n): byte for n, byte in enumerate(others)}
-
-
 class MergeRules:
     """The vocabulary and merges of a byte-level BPE file as arrays."""
 
@@ -71,6 +57,10 @@ class MergeRules:
         at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
         return np.where(self.keys[at] == keys, self.ranks[at], _NONE)
 
+    def merge_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words one after the other, and their number for each word."""
+        return self.merge([word.encode("utf-8", "surrogatepass") for word in words])
+
     def merge(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the words one after the other, and their number for each word."""
         n = len(words)
@@ -113,22 +103,6 @@ class MergeRules:
         order = np.argsort(word, kind="stable")
         return np.concatenate([np.zeros(0, np.int64), *done_symbols])[order].astype(np.int32), np.bincount(word, minlength=n)
 
-    def encode_pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of the pieces, each cut into words first; every distinct word is merged once."""
-        numbers: dict[str, int] = {}
-        cut = [  # letters behind one space are one word
-            [numbers.setdefault(word, len(numbers)) for word in ([piece] if piece[1:].isalpha() and piece[0] == " " else WORDS.findall(piece))]
-            for piece in pieces
-        ]
-        ids, lengths = self.merge([word.encode("utf-8", "surrogatepass") for word in numbers])
-        starts = np.cumsum(lengths) - lengths
-        words = np.fromiter((number for piece in cut for number in piece), np.int64)
-        sizes = lengths[words]
-        ends = np.cumsum(sizes)
-        taken = ids[np.repeat(starts[words] - ends + sizes, sizes) + np.arange(sizes.sum())]
-        totals = np.concatenate([[0], ends])
-        return taken, np.diff(totals[np.cumsum([0, *map(len, cut)])])
-
     def decode(self, ids: np.ndarray) -> str:
         """The text of the ids; bytes that are no text become replacement characters."""
         lengths = self.lengths[ids]
@@ -142,7 +116,7 @@ class Codec:
 
     def __init__(self, definition: str):
         self.rules = MergeRules(definition)
-        self.table = PieceTable(self.rules.encode_pieces, special_tokens(definition))
+        self.table = PieceTable(lambda pieces: by_words(pieces, self.rules.merge_words), special_tokens(definition))
 
 
 def codec_of(definition: str) -> Codec:

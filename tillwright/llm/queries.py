@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwright.llm import bpe, fingerprints, near_duplicates, repeats, sql, token_files, url_lists
+from tillwright.llm import bpe, fingerprints, near_duplicates, packing, quality, repeats, sql, token_files, toxicity, url_lists, vectors
 from tillwright.session import scratch_path
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -59,6 +59,18 @@ def op3_repeated_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.repeat_digests(documents(spark, sf_dir)).drop("spans")
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of at most 2048 tokens."""
+    return packing.packed(documents(spark, sf_dir), VOCABULARY)
+
+
+def op5_quality_grades(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected grade of every document, and whether it is more likely good than not."""
+    docs = documents(spark, sf_dir)
+    model = quality.quality_model(docs, quality.graded_labels(spark.read.parquet(f"{sf_dir}/labels.parquet")))
+    return quality.graded(docs, model).withColumn("kept", F.col("p_tail") >= 0.5)
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids written in Huffman-coded files and read back."""
     folder = scratch_path(spark, "token-files")
@@ -76,9 +88,25 @@ def op8_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digests(documents(spark, sf_dir), VOCABULARY)
 
 
+def op9_embedding_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors of one label whose cosine is 0.98 or more."""
+    return vectors.linked_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), cosine=0.98)
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learnt from labels of documents that are not held out."""
+    docs = documents(spark, sf_dir)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(~toxicity.held_out(F.col("doc_id")))
+    scores = toxicity.toxicity(docs, toxicity.toxicity_model(docs, labels))
+    return scores.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 QUERIES = {
     query.__name__: query
-    for query in (op1_minhash_near_duplicates, op2_url_lists, op3_repeated_windows, op6_token_files, op7_fingerprints, op8_bpe_round_trip)
+    for query in (
+        op1_minhash_near_duplicates, op2_url_lists, op3_repeated_windows, op4_packing, op5_quality_grades, op6_token_files,
+        op7_fingerprints, op8_bpe_round_trip, op9_embedding_links, op10_toxicity,
+    )
 }
 
 ORACLE = {
@@ -86,4 +114,5 @@ ORACLE = {
     "op2_url_lists": sql.URL_LISTS,
     "op3_repeated_windows": sql.REPEATS,
     "op7_fingerprints": sql.FINGERPRINTS,
+    "op9_embedding_links": sql.VECTORS,
 }

@@ -126,3 +126,21 @@ SELECT captures.page_id, url, fetched_on, coalesce(n, 0) AS n_entries, coalesce(
   coalesce(list_contains(lists, 'allow') OR NOT list_contains(lists, 'block'), true) AS allowed
 FROM captures LEFT JOIN per_page USING (page_id)
 """
+
+VECTORS = """
+WITH RECURSIVE usable AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND label IS NOT NULL AND vec_id IS NOT NULL AND len(embedding) > 0
+    AND len([x for x in embedding if x IS NULL OR isnan(x) OR isinf(x)]) = 0 AND len([x for x in embedding if x <> 0]) > 0
+),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.98
+),
+reach(node, seen) AS (SELECT vec_id, vec_id FROM usable UNION SELECT reach.node, links.b FROM reach JOIN links ON links.a = reach.seen),
+least AS (SELECT node, min(seen) AS component_id FROM reach GROUP BY node),
+counted AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT e.vec_id, coalesce(counted.n, 0) AS n_links, coalesce(least.component_id, e.vec_id) AS component_id,
+  e.vec_id = coalesce(least.component_id, e.vec_id) AS kept
+FROM embeddings e LEFT JOIN least ON least.node = e.vec_id LEFT JOIN counted ON counted.a = e.vec_id
+"""

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pandas as pd
@@ -82,22 +83,30 @@ class HuffmanCode:
         self.table_ids = np.resize(np.repeat(order, widths), size).astype(np.int32) if len(order) else np.zeros(size, np.int32)
         self.table_lengths = self.lengths[self.table_ids]
 
-    def encode(self, ids: np.ndarray) -> tuple[bytes, np.ndarray]:
-        """The codes of the ids one after the other, and the bit at which every ``BLOCK``-th begins."""
+    def encode(self, ids: np.ndarray, counts: np.ndarray) -> tuple[list[bytes], list[np.ndarray]]:
+        """For documents of ``counts`` ids (none empty): the bits of each, and the bit at which each of its blocks begins."""
         lengths = self.lengths[ids]
         ends = np.cumsum(lengths)
-        starts = ends - lengths
-        total = int(ends[-1]) if len(ends) else 0
-        words = np.zeros(total // 64 + 2, np.uint64)
+        firsts = np.cumsum(counts) - counts
+        before = (ends - lengths)[firsts]
+        sizes = (np.diff(np.concatenate([before, ends[-1:]])) + 7) // 8
+        begins = np.cumsum(sizes) - sizes
+        within = ends - lengths - np.repeat(before, counts)
+        starts = within + np.repeat(8 * begins, counts)
+        words = np.zeros(int(sizes.sum()) // 8 + 2, np.uint64)
         word, room = starts >> 6, 64 - (starts & 63) - lengths
         codes = self.codes[ids]
         whole = np.where(room >= 0, codes << np.maximum(room, 0).astype(np.uint64), codes >> np.maximum(-room, 0).astype(np.uint64))
-        if total:
-            first = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
-            words[word[first]] = np.bitwise_or.reduceat(whole, first)
-            over = np.flatnonzero(room < 0)  # at most one code runs over the end of a word
-            words[word[over] + 1] |= codes[over] << (64 + room[over]).astype(np.uint64)
-        return words.astype(">u8").tobytes()[: (total + 7) // 8], starts[::BLOCK]
+        first = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
+        words[word[first]] = np.bitwise_or.reduceat(whole, first)
+        over = np.flatnonzero(room < 0)  # at most one code runs over the end of a word
+        words[word[over] + 1] |= codes[over] << (64 + room[over]).astype(np.uint64)
+        data = words.astype(">u8").tobytes()
+        blocks = within[(np.arange(len(ids)) - np.repeat(firsts, counts)) % BLOCK == 0]
+        return (
+            [data[begin : begin + size] for begin, size in zip(begins.tolist(), sizes.tolist(), strict=True)],
+            np.split(blocks, np.cumsum((counts + BLOCK - 1) // BLOCK)[:-1]),
+        )
 
     def decode(self, payload: bytes, offsets: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """Ids of blocks that begin at the bit ``offsets`` and have ``counts`` ids; all blocks advance together."""
@@ -128,7 +137,19 @@ def _planes(ids: np.ndarray) -> int:
 
 def _unpack(data: bytes, n: int) -> np.ndarray:
     planes = np.frombuffer(data, np.uint8).reshape(-1, n)
-    return (planes.astype(np.int64) << (8 * np.arange(len(planes)))[:, None]).sum(axis=0)
+    ids = np.zeros((n, 4), np.uint8)
+    ids[:, : len(planes)] = planes.T
+    return ids.view("<u4")[:, 0].astype(np.int64)
+
+
+def _batches(frame: pd.DataFrame) -> Iterator[tuple[pd.DataFrame, np.ndarray]]:
+    """Rows of about ``SEGMENT_IDS`` ids with the ids of all of them."""
+    group = (frame["n"].cumsum() // SEGMENT_IDS).to_numpy()
+    cuts = [0, *np.flatnonzero(np.diff(group)) + 1, len(frame)]
+    for begin, end in pairwise(cuts):
+        if begin < end:
+            rows = frame.iloc[begin:end]
+            yield rows, np.concatenate([_unpack(data, n) for n, data in zip(rows["n"], rows["ids"], strict=True)])
 
 
 def _store_ids(docs: DataFrame, path: str, id_col: str, text_col: str, end_id: int, folder: str) -> DataFrame:
@@ -138,8 +159,11 @@ def _store_ids(docs: DataFrame, path: str, id_col: str, text_col: str, end_id: i
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         table = library_table(definition.value)
         for frame in frames:
-            found = [np.append(ids, end_id) for ids in table.encode_each(texts_of(frame["text"]))]
-            yield pd.DataFrame({"id": frame["id"].to_numpy(), "n": list(map(len, found)), "ids": list(map(_pack, found))})
+            sizes, packed = [], []
+            for ids in table.encode_each(texts_of(frame["text"])):
+                sizes.append(len(ids) + 1)
+                packed.append(_pack(np.append(ids, end_id)))
+            yield pd.DataFrame({"id": frame["id"].to_numpy(), "n": sizes, "ids": packed})
 
     keyed(docs, id_col, text=text_col).mapInPandas(run, "id string, n int, ids binary").write.option("compression", "zstd").parquet(folder)
     return docs.sparkSession.read.schema("id string, n int, ids binary").parquet(folder)
@@ -151,8 +175,8 @@ def _count_ids(stored: DataFrame) -> np.ndarray:
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counts = np.zeros(0, np.int64)
         for frame in frames:
-            for n, data in zip(frame["n"], frame["ids"], strict=True):
-                found = np.bincount(_unpack(data, n), minlength=len(counts))
+            for _, ids in _batches(frame):
+                found = np.bincount(ids, minlength=len(counts))
                 found[: len(counts)] += counts
                 counts = found
         yield pd.DataFrame({"token": np.flatnonzero(counts), "n": counts[counts > 0]})
@@ -183,8 +207,9 @@ def write(docs: DataFrame, path: str, folder: str, id_col: str = "doc_id", text_
 
     def encode(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            coded = [code.value.encode(_unpack(data, n)) for n, data in zip(frame["n"], frame["ids"], strict=True)]
-            yield frame[["id", "n"]].assign(bits=[bits for bits, _ in coded], checkpoints=[starts for _, starts in coded])
+            for rows, ids in _batches(frame):
+                bits, checkpoints = code.value.encode(ids, rows["n"].to_numpy(np.int64))
+                yield rows[["id", "n"]].assign(bits=bits, checkpoints=checkpoints)
 
     def segment(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bucket, start, seq = None, 0, 0
@@ -227,13 +252,14 @@ def write(docs: DataFrame, path: str, folder: str, id_col: str = "doc_id", text_
 
 
 def _segments(spark: SparkSession, folder: str) -> DataFrame:
-    """The segments with the number of ids of all documents before them; sums meet in one task, one row per file."""
+    """The segments with the number of ids of all documents before them; sums meet in one task, one row per file,
+    and are broadcast: there are ``MAX_FILES`` at most."""
     schema = "bucket int, seq int, start_in_bucket bigint, ids array<string>, sizes array<int>, payload binary, checkpoints array<bigint>"
     segments = spark.read.schema(schema).parquet(f"{folder}/segments")
     last = segments.groupBy("bucket").agg(F.max(F.expr("start_in_bucket + aggregate(sizes, 0L, (a, b) -> a + b)")).alias("n"))
     before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     bases = last.select("bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    return segments.join(bases, "bucket").withColumn("start", F.col("base") + F.col("start_in_bucket"))
+    return segments.join(F.broadcast(bases), "bucket").withColumn("start", F.col("base") + F.col("start_in_bucket"))
 
 
 def _decoded(row, code: HuffmanCode) -> Iterator[np.ndarray]:

@@ -14,6 +14,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark import Broadcast
 from pyspark.sql import SparkSession
 
@@ -23,6 +24,12 @@ MAX_PIECES, MAX_IDS = 500_000, 8_000_000
 #: Characters that are looked up together.
 STRETCH = 1_000_000
 
+#: The word pattern of the byte-level pre-tokenizer.
+WORDS = regex.compile(
+    r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
+    r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
+)
+
 _BOUNDARY = re.compile(r" (?=\S)")
 
 
@@ -163,6 +170,23 @@ class PieceTable:
             yield from np.split(ids, np.cumsum(counts)[:-1])
 
 
+def by_words(pieces: list[str], encode_words: Callable[[list[str]], tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of the pieces and their number for each, every distinct word of the pieces being encoded once."""
+    numbers: dict[str, int] = {}
+    cut = [  # letters behind one space are one word
+        [numbers.setdefault(word, len(numbers)) for word in ([piece] if piece[1:].isalpha() and piece[0] == " " else WORDS.findall(piece))]
+        for piece in pieces
+    ]
+    ids, lengths = encode_words(list(numbers))
+    starts = np.cumsum(lengths) - lengths
+    words = np.fromiter((number for piece in cut for number in piece), np.int64)
+    sizes = lengths[words]
+    ends = np.cumsum(sizes)
+    taken = ids[np.repeat(starts[words] - ends + sizes, sizes) + np.arange(sizes.sum())]
+    totals = np.concatenate([[0], ends])
+    return taken, np.diff(totals[np.cumsum([0, *map(len, cut)])])
+
+
 def stretches(texts: list[str]) -> Iterator[list[str]]:
     """The texts in order, in lists of about ``STRETCH`` characters or one longer text."""
     batch, size = [], 0
@@ -186,10 +210,29 @@ def special_tokens(definition: str) -> dict[str, int]:
     return {token["content"]: token["id"] for token in json.loads(definition).get("added_tokens", [])}
 
 
+def byte_letters() -> dict[str, int]:
+    """The letter that stands for each byte in a byte-level vocabulary: itself if it is visible."""
+    visible = [*range(ord("!"), ord("~") + 1), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    letters = {chr(byte): byte for byte in visible}
+    others = (byte for byte in range(256) if byte not in set(visible))
+    return letters | {chr(256 + n): byte for n, byte in enumerate(others)}
+
+
+def check_kind(definition: str) -> None:
+    """Only byte-level BPE files that change nothing before cutting words can be used piece by piece."""
+    parts = json.loads(definition)
+    cutter = parts.get("pre_tokenizer") or {}
+    plain = cutter.get("type") == "ByteLevel" and not cutter.get("add_prefix_space") and cutter.get("use_regex", True)
+    if parts["model"].get("type", "BPE") != "BPE" or parts.get("normalizer") or not plain:
+        raise ValueError("a byte-level BPE file without a normalizer is needed")
+
+
 def share_definition(spark: SparkSession, path: str) -> Broadcast:
     """The tokenizer file for all tasks: it is read by the driver, a few MB by its vocabulary."""
     with open(path, encoding="utf-8") as file:
-        return spark.sparkContext.broadcast(file.read())
+        definition = file.read()
+    check_kind(definition)
+    return spark.sparkContext.broadcast(definition)
 
 
 _tables: dict[tuple[str, int], PieceTable] = {}
@@ -205,20 +248,20 @@ def table_of(definition: str, kind: str, build: Callable[[str], PieceTable]) ->
 
 
 def library_table(definition: str) -> PieceTable:
-    """A table whose new pieces are encoded by the tokenizers library."""
+    """A table whose new words are encoded by the model of the tokenizers library."""
 
     def build(definition: str) -> PieceTable:
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_str(definition)
-        tokenizer.no_padding()
-        tokenizer.no_truncation()
+        model = Tokenizer.from_str(definition).model
+        letters = {byte: letter for letter, byte in byte_letters().items()}
 
-        def encode_pieces(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-            found = [encoding.ids for encoding in tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+        def encode_words(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+            spelled = (word.encode("utf-8", "surrogatepass").decode("latin-1").translate(letters) for word in words)
+            found = [[token.id for token in model.tokenize(word)] for word in spelled]
             lengths = np.fromiter(map(len, found), np.int64, len(found))
             return np.fromiter((number for ids in found for number in ids), np.int32, lengths.sum()), lengths
 
-        return PieceTable(encode_pieces, special_tokens(definition))
+        return PieceTable(lambda pieces: by_words(pieces, encode_words), special_tokens(definition))
 
     return table_of(definition, "library", build)
