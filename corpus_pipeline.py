@@ -1,14 +1,76 @@
-"""The corpus pipeline: documents through five operators, one after the other."""
+"""The corpus pipeline: good, clean and distinct documents, freed of shared passages and packed for training.
+
+Each stage takes ``(spark, docs, sf_dir)`` and works on all that its predecessor kept; all but the last return the columns
+of ``documents``, texts of the fourth being shorter. Models are fitted on the labels of documents that are still there.
+
+Null texts are empty to every stage. Rows without ``doc_id`` can't be kept as one of a group and leave at the near-dedup; of
+rows that share a ``doc_id`` (repeats included) it keeps one. Further columns are carried along to the last stage.
+"""
 
 from __future__ import annotations
 
-STAGES = []
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tillwright.llm import near_duplicates, packing, quality, repeats, toxicity
+from tillwright.llm.queries import VOCABULARY
+from tillwright.session import stored
+
+#: A text stays if it is good with this probability, and if it is toxic with less than that one.
+GOOD, TOXIC = 0.5, 0.3
+#: Shared windows in bytes: passages of fifty words have rarely less.
+WINDOW = 224
+
+
+def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
+def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier does not reject."""
+    model = quality.quality_model(docs, quality.graded_labels(_labels(spark, sf_dir)))
+    return docs.where(quality.grades_of(docs, model)["p_tail"] >= GOOD)
+
+
+def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are not toxic."""
+    model = toxicity.toxicity_model(docs, _labels(spark, sf_dir))
+    return docs.where(toxicity.toxicity_of(docs, model) < TOXIC)
+
+
+def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates, the one with the smallest id: five words, similarity 0.8."""
+    kept = near_duplicates.near_duplicates(docs).where("kept").select("doc_id").distinct()
+    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+
+
+def without_shared_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the passages that occur in them more than once or in several; ``n_chars`` is counted anew."""
+    cut = repeats.without_repeats(docs, width=WINDOW)
+    counted = F.when(F.col("n_chars").isNotNull(), F.coalesce(F.length("text"), F.lit(0)).cast("bigint"))
+    return cut.withColumn("n_chars", counted) if "n_chars" in docs.columns else cut
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents in sequences of 2048 tokens."""
+    return packing.packed(docs, VOCABULARY)
+
+
+STAGES = [
+    ("quality classifier", good),
+    ("toxicity", clean),
+    ("MinHash near-dedup", distinct),
+    ("suffix-array dedup", without_shared_passages),
+    ("best-fit packing", packed),
+]
+
+#: The classifiers, the tokenizer and the packing are beyond SQL; tests hold the stages against plain versions.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    """All stages over ``documents``."""
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``, what each returns being written for the next."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)

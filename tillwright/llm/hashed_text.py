@@ -19,7 +19,6 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillwright.llm.rows import keyed
 from tillwright.session import stored
 
 #: Bounds of a sample and of a model: labelled texts per grade, and terms.
@@ -168,19 +167,20 @@ def labelled_sample(docs: DataFrame, grades: DataFrame, id_col: str, text_col: s
     )
 
 
-def scored(docs: DataFrame, hashes: np.ndarray, score: Callable[[list[np.ndarray]], dict], schema: str, id_col: str, text_col: str) -> DataFrame:
-    """``id`` (as text) and what ``score`` returns for the term columns of a batch of texts."""
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(hashes)
+def score_column(docs: DataFrame, text_col: str, hashes: np.ndarray, score: Callable[[list[np.ndarray]], dict], schema: str) -> Column:
+    """A struct column of ``schema`` for the rows of ``docs``: what ``score`` returns for the term columns of many texts.
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    Only the text goes to Python, so rows can be filtered by it without being joined.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(hashes)
+
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         terms = Terms(shared.value)
-        for frame in frames:
-            for begin in range(0, len(frame), 500):
-                part = frame.iloc[begin : begin + 500]
-                yield pd.DataFrame({"id": part["id"].to_numpy()} | score([terms.of(text) for text in part["text"]]))
+        for batch in batches:
+            parts = [score([terms.of(text) for text in batch.iloc[begin : begin + 500]]) for begin in range(0, len(batch), 500)]
+            yield pd.concat([pd.DataFrame(part) for part in parts], ignore_index=True)
 
-    return keyed(docs, id_col, text=text_col).mapInPandas(run, "id string, " + schema)
+    return F.pandas_udf(run, schema)(docs[f"`{text_col}`"])
 
 
 def sums(values: np.ndarray, texts: list[np.ndarray]) -> np.ndarray:

@@ -5,8 +5,8 @@ sequence of its own. The others are dealt at random into shards of about ``SHARD
 shard several islands evolve packings of their own: a crossover takes whole well-filled sequences from one
 parent, drops the other's sequences that share a piece with them, and puts displaced pieces where they fit best, largest
 first. After each epoch every island gets the best packing of its neighbour. When the epochs are over,
-sequences of the best packing that are filled to ``FILLED`` stay; the pieces of the others meet in
-fewer shards on the next level, until one shard is left.
+sequences of the best packing that are filled to ``FILLED`` stay, and the better half of them in any case; the pieces
+of the others meet in fewer shards on the next level, until one shard is left.
 
 A shard whose packing has as few sequences as its ids need at least is not evolved further. Null texts are empty and have the
 end id only. Null and repeated keys, repeated rows and other columns are of no effect: each row is packed.
@@ -147,7 +147,7 @@ def _best(elites: DataFrame, capacity: int) -> DataFrame:
         offset = part.groupby("bin")["length"].cumsum() - part["length"]
         return pd.DataFrame({
             "uid": part["uid"], "length": part["length"], "shard": part["shard"], "bin": part["bin"],
-            "offset": offset, "filled": packing.fill[part["bin"].to_numpy()] >= FILLED * capacity,
+            "offset": offset, "filled": packing.fill[part["bin"].to_numpy()] >= min(FILLED * capacity, np.median(packing.fill)),
         })
 
     return elites.groupBy("shard").applyInPandas(run, "uid bigint, length int, shard bigint, bin bigint, offset bigint, filled boolean")
@@ -172,10 +172,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         if shards == 1:
             break
         rest = best.where("NOT filled").select("uid", "length")
-        before, count, level = count, rest.count(), level + 1
-        if count > before // 2:  # too little was filled for levels to pay: the last one keeps what it has
-            placed = placed.union(best.where("NOT filled").select("uid", number.alias("sequence_id"), "offset"))
-            break
+        count, level = rest.count(), level + 1
     return placed
 
 

@@ -13,11 +13,10 @@ from __future__ import annotations
 import dataclasses
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillwright.llm.hashed_text import MAX_TEXTS, Sample, labelled_sample, scored, sums
-from tillwright.llm.rows import rekeyed
+from tillwright.llm.hashed_text import MAX_TEXTS, Sample, labelled_sample, score_column, sums
 
 ROUNDS, BATCH, RATE, DECAY = 12, 64, 0.15, 1e-5
 
@@ -81,15 +80,19 @@ def quality_model(docs: DataFrame, grades: DataFrame, id_col: str = "doc_id", te
     return fit(labelled_sample(docs, grades, id_col, text_col, n_grades, max_texts), n_grades)
 
 
-def graded(docs: DataFrame, model: OrdinalModel, tail: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id_col, expected_grade, p_tail`` of every row; ``p_tail`` is P(grade >= ``tail``)."""
+def grades_of(docs: DataFrame, model: OrdinalModel, tail: int = 1, text_col: str = "text") -> Column:
+    """A struct column for ``docs``: ``expected_grade`` and ``p_tail``, which is P(grade >= ``tail``)."""
 
     def score(texts: list[np.ndarray]) -> dict:
         tails = model.tails(texts)
         return {"expected_grade": tails.sum(axis=1), "p_tail": tails[:, tail - 1]}
 
-    found = scored(docs, model.hashes, score, "expected_grade double, p_tail double", id_col, text_col)
-    return rekeyed(found, docs, id_col)
+    return score_column(docs, text_col, model.hashes, score, "expected_grade double, p_tail double")
+
+
+def graded(docs: DataFrame, model: OrdinalModel, tail: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``id_col, expected_grade, p_tail`` of every row."""
+    return docs.select(docs[f"`{id_col}`"].alias(id_col), grades_of(docs, model, tail, text_col).alias("found")).select(id_col, "found.*")
 
 
 def graded_labels(labels: DataFrame) -> DataFrame:

@@ -16,8 +16,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillwright.llm.hashed_text import MAX_TEXTS, Sample, labelled_sample, scored, sums
-from tillwright.llm.rows import rekeyed
+from tillwright.llm.hashed_text import MAX_TEXTS, Sample, labelled_sample, score_column, sums
 
 FACTORS, ROUNDS, BATCH, RATE, DECAY, FACTOR_DECAY = 6, 12, 64, 0.1, 1e-5, 1e-3
 
@@ -76,10 +75,14 @@ def toxicity_model(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     return fit(labelled_sample(docs, grades, id_col, text_col, 2, max_texts))
 
 
+def toxicity_of(docs: DataFrame, model: FactorizationMachine, text_col: str = "text") -> Column:
+    """A column for ``docs``: the score, 0 to 1, higher for toxic texts."""
+    return score_column(docs, text_col, model.hashes, lambda texts: {"score": model.score(texts)}, "score double")["score"]
+
+
 def toxicity(docs: DataFrame, model: FactorizationMachine, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id_col`` and ``score`` (0 to 1, higher for toxic texts) of every row."""
-    found = scored(docs, model.hashes, lambda texts: {"score": model.score(texts)}, "score double", id_col, text_col)
-    return rekeyed(found, docs, id_col)
+    """``id_col`` and ``score`` of every row."""
+    return docs.select(docs[f"`{id_col}`"].alias(id_col), toxicity_of(docs, model, text_col).alias("score"))
 
 
 def held_out(key: Column) -> Column:
