@@ -7,6 +7,7 @@ spelled out, because DuckDB would fall back to binary floating point.
 
 from __future__ import annotations
 
+import hashlib
 import re
 
 from querybook import standins as si
@@ -80,12 +81,12 @@ NULLS = ("", "null")
 PLACEHOLDERS = ("", "null", "n/a", "na", "none", "?")
 
 
-def whole(expression: str) -> str:
-    return f"case when regexp_full_match({expression}, '[+-]?[0-9]+') then try_cast({expression} as int) end"
+def whole(expression: str, kind: str = "int") -> str:
+    return f"case when regexp_full_match({expression}, '[+-]?[0-9]+') then try_cast({expression} as {kind}) end"
 
 
 def numeric_id(expression: str) -> str:
-    return f"case when regexp_full_match({expression}, '[0-9]+') then try_cast({expression} as int) end"
+    return f"case when regexp_full_match({expression}, '[0-9]+') then try_cast({expression} as bigint) end"
 
 
 def money(expression: str) -> str:
@@ -149,7 +150,7 @@ for entity, text in si.RAW_TEXT.items():
 C, P, O = list(si.CUSTOMER_TEXT), list(si.PRODUCT_TEXT), list(si.ORDER_TEXT)
 
 TYPED_CUSTOMER = {name: f"nullif({name}, '')" for name in C} | {
-    "customer_id": whole("customer_id"),
+    "customer_id": whole("customer_id", "bigint"),
     "signup_date": "case when regexp_full_match(signup_date, '[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}') then try_cast(signup_date as date) end",
     "is_active": "case lower(is_active) when 'true' then true when 'false' then false end",
     "loyalty_points": whole("loyalty_points"),
@@ -320,11 +321,13 @@ ORACLE["ag1_category_summary"] = "SELECT * FROM category_summary"
 ORACLE["ag2_payment_summary"] = "SELECT * FROM payment_summary"
 ORACLE["snk3_reporting_view"] = "SELECT category, units_sold, revenue FROM category_summary"
 ORACLE["cat3_mounted_files"] = "SELECT * FROM all_customers"
+ORACLE["cat3_mounted_again"] = "SELECT * FROM all_products"
 
 # --- star schema ------------------------------------------------------------------------------
 
-STEPS["dim_customer"] = "SELECT row_number() OVER (ORDER BY customer_id) AS customer_key, * FROM known_customers"
-STEPS["dim_product"] = "SELECT row_number() OVER (ORDER BY product_id) AS product_key, * FROM known_products"
+for name, members in (("dim", "all"), ("part", "known")):
+    STEPS[f"{name}_customer"] = f"SELECT row_number() OVER (ORDER BY customer_id) AS customer_key, * FROM {members}_customers"
+    STEPS[f"{name}_product"] = f"SELECT row_number() OVER (ORDER BY product_id) AS product_key, * FROM {members}_products"
 DATE_KEY = "cast(strftime(order_date, '%Y%m%d') as int)"
 STEPS["dim_date"] = (
     f"SELECT DISTINCT {DATE_KEY} AS date_key, order_date AS full_date, cast(year(order_date) as int) AS year, "
@@ -333,28 +336,29 @@ STEPS["dim_date"] = (
     "cast(dayofweek(order_date) as int) AS day_of_week_number, strftime(order_date, '%a') AS day_name "
     "FROM sales WHERE order_date IS NOT NULL"
 )
-STEPS["fact_sales"] = (
-    f"SELECT s.order_id, c.customer_key, p.product_key, {DATE_KEY} AS date_key, s.customer_id, s.product_id, s.order_date, "
-    "s.quantity, s.unit_price, s.discount_pct, s.total_amount, s.profit, s.payment_method, s.order_status "
-    "FROM sales s LEFT JOIN dim_customer c ON s.customer_id = c.customer_id LEFT JOIN dim_product p ON s.product_id = p.product_id"
-)
+for name, members in (("fact_sales", "dim"), ("part_fact", "part")):
+    STEPS[name] = (
+        f"SELECT s.order_id, c.customer_key, p.product_key, {DATE_KEY} AS date_key, s.customer_id, s.product_id, s.order_date, "
+        "s.quantity, s.unit_price, s.discount_pct, s.total_amount, s.profit, s.payment_method, s.order_status "
+        f"FROM sales s LEFT JOIN {members}_customer c ON s.customer_id = c.customer_id LEFT JOIN {members}_product p ON s.product_id = p.product_id"
+    )
 ORACLE["dim1_customers"] = "SELECT * FROM dim_customer"
 ORACLE["dim2_products"] = "SELECT * FROM dim_product"
 ORACLE["dim3_dates"] = "SELECT * FROM dim_date"
-ORACLE["dim4_fact_sales"] = "SELECT * FROM fact_sales"
+ORACLE["dim4_fact_sales"] = "SELECT * FROM part_fact"
 for query, key, column in (
     ("dim5_payment_methods", "payment_key", "payment_method"),
     ("dim5_order_statuses", "order_status_key", "order_status"),
 ):
     ORACLE[query] = f"SELECT row_number() OVER (ORDER BY {column}) AS {key}, {column} FROM (SELECT DISTINCT {column} FROM sales)"
 ORACLE["snk2_save_dimension_and_fact"] = (
-    "SELECT order_id, product_key, product_id, quantity, total_amount, profit FROM fact_sales"
+    "SELECT * FROM fact_sales"
 )
 ORACLE["jn3_key_lookup"] = (
-    "SELECT order_id, o.customer_id, total_amount, customer_key FROM all_orders o LEFT JOIN dim_customer c ON o.customer_id = c.customer_id"
+    "SELECT order_id, o.customer_id, total_amount, customer_key FROM all_orders o LEFT JOIN part_customer c ON o.customer_id = c.customer_id"
 )
 ORACLE["jn4_fact_to_dimension"] = (
-    "SELECT product_key, order_id, quantity, total_amount, p.product_id, category FROM fact_sales JOIN dim_product p USING (product_key)"
+    "SELECT product_key, order_id, quantity, total_amount, p.product_id, category FROM part_fact JOIN part_product p USING (product_key)"
 )
 ORACLE["jn5_orphan_products"] = (
     "SELECT DISTINCT s.product_id FROM sales s LEFT JOIN known_products p ON s.product_id = p.product_id WHERE p.product_id IS NULL"
@@ -437,7 +441,7 @@ def unknown(table: str, step: str, key: str, parent: str) -> str:
 
 
 ORACLE["dq1_row_counts"] = counts(
-    customers="known_customers", products="known_products", orders="all_orders", sales_curated="sales",
+    customers="all_customers", products="all_products", orders="all_orders", sales_curated="sales",
     category_summary="category_summary", payment_summary="payment_summary", margin="margin",
 )
 ORACLE["dq1_gold_row_counts"] = counts(
@@ -455,18 +459,25 @@ ORACLE["dq3_missing_keys"] = checks(
 )
 ORACLE["dq4_unmatched_keys"] = (
     "SELECT count(*) AS total_fact_rows, count(*) - count(customer_key) AS unmatched_customers, "
-    "count(*) - count(product_key) AS unmatched_products, count(*) - count(date_key) AS unmatched_dates FROM fact_sales"
-)
-SURROGATES = [
-    repeated("dim_customer", "dim_customer", "customer_key"),
-    repeated("dim_product", "dim_product", "product_key"),
-    repeated("dim_date", "dim_date", "date_key"),
-]
-ORACLE["dq5_repeated_surrogates"] = checks(*SURROGATES)
+    "count(*) - count(product_key) AS unmatched_products, count(*) - count(date_key) AS unmatched_dates FROM part_fact"
+)
+
+
+def surrogates(prefix: str) -> list[str]:
+    return [
+        repeated("dim_customer", f"{prefix}_customer", "customer_key"),
+        repeated("dim_product", f"{prefix}_product", "product_key"),
+        repeated("dim_date", "dim_date", "date_key"),
+    ]
+
+
+STEPS["twice_customer"] = "SELECT * FROM dim_customer UNION ALL SELECT * FROM dim_customer WHERE loyalty_points < 0"
+STEPS["twice_product"] = "SELECT * FROM dim_product UNION ALL SELECT * FROM dim_product WHERE stock_quantity > 400"
+ORACLE["dq5_repeated_surrogates"] = checks(*surrogates("twice"))
 ORACLE["dq6_revenue_reconciliation"] = (
     "SELECT a AS curated_revenue, b AS gold_revenue, cast(a - b as decimal(38,2)) AS difference, a IS NOT DISTINCT FROM b AS equal FROM "
     "(SELECT (SELECT cast(sum(total_amount) as decimal(38,2)) FROM sales) AS a, "
-    "(SELECT cast(sum(total_amount) as decimal(38,2)) FROM fact_sales) AS b)"
+    "(SELECT cast(sum(total_amount) as decimal(38,2)) FROM sales WHERE product_id IN (SELECT product_id FROM known_products)) AS b)"
 )
 ORACLE["dq7_row_count_reconciliation"] = (
     "SELECT (SELECT count(*) FROM sales) AS curated_sales_rows, "
@@ -476,9 +487,9 @@ ORACLE["dq8_orphan_customers"] = (
     "SELECT DISTINCT s.customer_id FROM sales s LEFT JOIN known_customers c ON s.customer_id = c.customer_id WHERE c.customer_id IS NULL"
 )
 ORACLE["dq8_orphan_product_keys"] = (
-    "SELECT DISTINCT f.product_key FROM fact_sales f LEFT JOIN dim_product p ON f.product_key = p.product_key WHERE p.product_key IS NULL"
+    "SELECT DISTINCT f.product_key FROM part_fact f LEFT JOIN part_product p ON f.product_key = p.product_key WHERE p.product_key IS NULL"
 )
-ORACLE["dq9_product_listing"] = "SELECT product_id, product_name, category FROM known_products ORDER BY product_id"
+ORACLE["dq9_product_listing"] = "SELECT product_id, product_name, category FROM all_products ORDER BY product_id"
 ORACLE["dq_full_report"] = checks(
     repeated("customers", "known_customers", "customer_id"),
     repeated("products", "known_products", "product_id"),
@@ -488,16 +499,16 @@ ORACLE["dq_full_report"] = checks(
     *empty("orders", "sales", "order_id", "customer_id", "product_id"),
     unknown("sales_curated", "sales", "product_id", "known_products"),
     unknown("sales_curated", "sales", "customer_id", "known_customers"),
-    *SURROGATES,
-    *empty("fact_sales", "fact_sales", "customer_key", "product_key", "date_key"),
-    unknown("fact_sales", "fact_sales", "product_key", "dim_product"),
+    *surrogates("part"),
+    *empty("fact_sales", "part_fact", "customer_key", "product_key", "date_key"),
+    unknown("fact_sales", "part_fact", "product_key", "part_product"),
     check(
         "revenue differs", "fact_sales",
-        "SELECT cast((SELECT sum(total_amount) FROM sales) IS DISTINCT FROM (SELECT sum(total_amount) FROM fact_sales) as bigint)",
+        "SELECT cast((SELECT sum(total_amount) FROM sales) IS DISTINCT FROM (SELECT sum(total_amount) FROM part_fact) as bigint)",
     ),
     check(
         "row count differs", "fact_sales",
-        "SELECT cast((SELECT count(*) FROM sales) IS DISTINCT FROM (SELECT count(*) FROM fact_sales) as bigint)",
+        "SELECT cast((SELECT count(*) FROM sales) IS DISTINCT FROM (SELECT count(*) FROM part_fact) as bigint)",
     ),
 )
 
@@ -530,8 +541,11 @@ ORACLE["bi7_customer_activity"] = (
     "cast(date_diff('day', max(order_date), (SELECT max(order_date) FROM fact_sales)) as int) AS days_since_last_order "
     "FROM fact_sales JOIN dim_customer c USING (customer_key) GROUP BY c.customer_id"
 )
+KEY = hashlib.sha256(si.SECRET.encode()).digest().ljust(64, b"\0")
+INNER, OUTER = (bytes(byte ^ pad for byte in KEY).hex() for pad in (0x36, 0x5C))
 ORACLE["bi8_showable_customers"] = (
-    "SELECT customer_key, country, state, is_active, loyalty_points, sha256(email) AS email_fingerprint FROM dim_customer"
+    "SELECT customer_key, country, state, is_active, loyalty_points, "
+    f"sha256(unhex('{OUTER}') || unhex(sha256(unhex('{INNER}') || encode(lower(trim(email)))))) AS email_fingerprint FROM dim_customer"
 )
 
 # --- streams and gates ------------------------------------------------------------------------

@@ -67,10 +67,9 @@ def snk1_save_and_scan_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def snk2_save_dimension_and_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     gold = _fresh_namespace(spark, "gold")
-    dimension = tables.save_table(_dim_product(spark, sf_dir), f"{gold}.dim_product")
-    fact = with_surrogate(_sales(spark, sf_dir), dimension, "product_id", "product_key")
-    columns = ("order_id", "product_key", "product_id", "quantity", "total_amount", "profit")
-    return tables.save_table(fact.select(*columns), f"{gold}.fact_sales")
+    customers = tables.save_table(_dim_customer(spark, sf_dir), f"{gold}.dim_customer")
+    products = tables.save_table(_dim_product(spark, sf_dir), f"{gold}.dim_product")
+    return tables.save_table(star.sales_fact(_sales(spark, sf_dir), customers, products), f"{gold}.fact_sales")
 
 
 @query
@@ -93,6 +92,17 @@ def cat3_mounted_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mounted
 
 
+@query
+def cat3_mounted_again(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second mount of an alias shows the second files."""
+    alias = f"{_fresh_namespace(spark, 'mounted')}.members"
+    for label, rows in (("stored-customers", si.customers(spark, sf_dir)), ("stored-products", si.products(spark, sf_dir))):
+        path = scratch_path(spark, label)
+        rows.write.parquet(path)
+        mounted = tables.mount(spark, alias, path)
+    return mounted
+
+
 # --- column rules -----------------------------------------------------------------------------
 
 
@@ -285,10 +295,20 @@ def _sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _dim_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return star.customer_dimension(_known_customers(spark, sf_dir))
+    return star.customer_dimension(si.customers(spark, sf_dir))
 
 
 def _dim_product(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return star.product_dimension(si.products(spark, sf_dir))
+
+
+def _part_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A customer dimension that lacks members, for the queries about orphans."""
+    return star.customer_dimension(_known_customers(spark, sf_dir))
+
+
+def _part_product(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A product dimension that lacks members, for the queries about orphans."""
     return star.product_dimension(_known_products(spark, sf_dir))
 
 
@@ -300,6 +320,10 @@ def _fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return star.sales_fact(_sales(spark, sf_dir), _dim_customer(spark, sf_dir), _dim_product(spark, sf_dir))
 
 
+def _part_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return star.sales_fact(_sales(spark, sf_dir), _part_customer(spark, sf_dir), _part_product(spark, sf_dir))
+
+
 def _fact_by_product(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """The fact with only the product looked up, and the product dimension."""
     dimension = _dim_product(spark, sf_dir)
@@ -330,12 +354,13 @@ def jn2_enriched_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def jn3_key_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     ordered = si.orders(spark, sf_dir).select("order_id", "customer_id", "total_amount")
-    return with_surrogate(ordered, _dim_customer(spark, sf_dir), "customer_id", "customer_key")
+    return with_surrogate(ordered, _part_customer(spark, sf_dir), "customer_id", "customer_key")
 
 
 @query
 def jn4_fact_to_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fact, dimension = _fact_by_product(spark, sf_dir)
+    dimension = _part_product(spark, sf_dir)
+    fact = with_surrogate(_sales(spark, sf_dir), dimension, "product_id", "product_key")
     lines = fact.select("order_id", "product_key", "quantity", "total_amount")
     return with_attributes(lines, dimension, "product_key", ["product_id", "category"])
 
@@ -429,7 +454,7 @@ def dim3_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def dim4_fact_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _fact(spark, sf_dir)
+    return _part_fact(spark, sf_dir)
 
 
 @query
@@ -489,8 +514,8 @@ def dq1_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     sold = _sales(spark, sf_dir)
     return row_counts(
         {
-            "customers": _known_customers(spark, sf_dir),
-            "products": _known_products(spark, sf_dir),
+            "customers": si.customers(spark, sf_dir),
+            "products": si.products(spark, sf_dir),
             "orders": si.orders(spark, sf_dir),
             "sales_curated": sold,
             "category_summary": sales.category_summary(sold),
@@ -540,14 +565,15 @@ def dq3_missing_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def dq4_unmatched_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return validation.unmatched_keys(_fact(spark, sf_dir))
+    return validation.unmatched_keys(_part_fact(spark, sf_dir))
 
 
 @query
 def dq5_repeated_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    gold = {
-        "dim_customer": _dim_customer(spark, sf_dir),
-        "dim_product": _dim_product(spark, sf_dir),
+    customers, products = _dim_customer(spark, sf_dir), _dim_product(spark, sf_dir)
+    gold = {  # with rows that are there twice
+        "dim_customer": customers.union(customers.filter("loyalty_points < 0")),
+        "dim_product": products.union(products.filter("stock_quantity > 400")),
         "dim_date": _dim_date(spark, sf_dir),
     }
     return report(gold, [check for check in validation.gold_checks() if check.name.endswith("repeats")])
@@ -555,8 +581,8 @@ def dq5_repeated_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def dq6_revenue_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sold = _sales(spark, sf_dir)
-    return validation.revenue_reconciliation(sold, with_surrogate(sold, _dim_product(spark, sf_dir), "product_id", "product_key"))
+    kept = sales.enriched_sales(si.orders(spark, sf_dir), si.customers(spark, sf_dir), _known_products(spark, sf_dir))
+    return validation.revenue_reconciliation(_sales(spark, sf_dir), kept)
 
 
 @query
@@ -572,13 +598,14 @@ def dq8_orphan_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def dq8_orphan_product_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fact, dimension = _fact_by_product(spark, sf_dir)
+    dimension = _part_product(spark, sf_dir)
+    fact = with_surrogate(_sales(spark, sf_dir), dimension, "product_id", "product_key")
     return orphan_keys(fact, dimension, "product_key")
 
 
 @query
 def dq9_product_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _known_products(spark, sf_dir).select("product_id", "product_name", "category").orderBy("product_id")
+    return si.products(spark, sf_dir).select("product_id", "product_name", "category").orderBy("product_id")
 
 
 @query
@@ -591,8 +618,8 @@ def dq_full_report(spark: SparkSession, sf_dir: str) -> DataFrame:
         "sales_curated": sold,
     }
     gold = {
-        "dim_customer": _dim_customer(spark, sf_dir),
-        "dim_product": _dim_product(spark, sf_dir),
+        "dim_customer": _part_customer(spark, sf_dir),
+        "dim_product": _part_product(spark, sf_dir),
         "dim_date": star.date_dimension(sold),
     }
     gold["fact_sales"] = star.sales_fact(sold, gold["dim_customer"], gold["dim_product"])
@@ -643,7 +670,7 @@ def bi7_customer_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def bi8_showable_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dashboard.showable_customers(_dim_customer(spark, sf_dir))
+    return dashboard.showable_customers(_dim_customer(spark, sf_dir), si.SECRET)
 
 
 # --- streams and gates ------------------------------------------------------------------------

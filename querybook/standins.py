@@ -74,7 +74,7 @@ BASES["orders"] = BASES["lines"] | BASES["headers"]
 
 
 CUSTOMER_TEXT = {
-    "customer_id": defects(53, "key_text", (7, _text("c_custkey - 1")), (20, "'XYZ'"), (40, "''")),
+    "customer_id": defects(53, "key_text", (7, _text("c_custkey - 1")), (20, "'XYZ'"), (33, _text("c_custkey + 3000000000")), (40, "''")),
     "first_name": defects(11, "c_name", (3, "'   '"), (4, "'  ' || c_name || ' '")),
     "last_name": "c_mktsegment",
     "email": defects(
@@ -134,6 +134,7 @@ LINE_TEXT = {
         41, "line_id",
         (3, "'BADID'"), (9, "' ' || line_id || ' '"), (17, "'NULL'"),
         (23, f"'99999' || {_padded('l_orderkey', 9)}"),
+        (29, f"'99999999999999' || {_padded('l_orderkey', 11)}"),
     ),
     "product_id": defects(47, "line_product", (11, "'BADID'"), (12, "''"), (13, "'P99999'")),
     "ship_date": defects(
@@ -155,7 +156,7 @@ LINE_TEXT = {
 }
 
 HEADER_TEXT = {
-    "customer_id": defects(59, _text("o_custkey"), (1, "'XYZ'"), (2, "''"), (3, "'-5'"), (4, "'123456789012'")),
+    "customer_id": defects(59, _text("o_custkey"), (1, "'XYZ'"), (2, "''"), (3, "'-5'"), (4, "'123456789012'"), (5, "'1234567890123456789012345'")),
     "order_date": defects(
         17, "order_day",
         (1, "replace(order_day, '-', '/')"), (2, _us("order_day")), (3, f"replace({_us('order_day')}, '-', '/')"),
@@ -217,8 +218,8 @@ def _as_csv_reads(name: str, kind: str) -> Column:
     """
     token = F.col(name)
     match kind:
-        case "int":
-            value = F.when(token.rlike(r"^[+-]?\d+$"), token.try_cast("int"))
+        case "int" | "bigint":
+            value = F.when(token.rlike(r"^[+-]?\d+$"), token.try_cast(kind))
         case "float":
             value = token.try_cast("float")
         case "date":
@@ -257,8 +258,11 @@ CUSTOMER = {
     "first_name": "c_name",
     "last_name": "c_mktsegment",
     "email": f"'user' || {_text('c_custkey')} || '@example.com'",
+    "phone": f"'612555' || {_padded('c_custkey % 10000', 4)}",
+    "signup_date": f"cast('2023-' || {_padded('1 + c_custkey % 12', 2)} || '-' || {_padded('1 + c_custkey % 28', 2)} as date)",
     "country": "n_name",
     "state": "r_name",
+    "postal_code": _padded("c_custkey % 100000", 5),
     "is_active": "c_acctbal >= 0",
     "loyalty_points": "cast(floor(c_acctbal) as int)",
 }
@@ -270,6 +274,9 @@ PRODUCT = {
     "price": "cast(p_retailprice as decimal(10,2))",
     "cost": "cast(round(cast(p_retailprice as decimal(12,2)) * 0.6, 2) as decimal(10,2))",
     "stock_quantity": "p_size * 10",
+    "weight_kg": "cast(p_size as float)",
+    "created_date": f"cast('2022-' || {_padded('1 + p_partkey % 12', 2)} || '-' || {_padded('1 + p_partkey % 28', 2)} as date)",
+    "is_active": "p_partkey % 10 <> 0",
 }
 ORDER = {
     "order_id": "l_orderkey",
@@ -283,7 +290,9 @@ ORDER = {
     "payment_method": "o_orderpriority",
     "order_status": "o_orderstatus",
 }
-# Dimensions that lack some members, so that there are orphans to find.
+# Members that are known where a query is about orphans; all other queries have every member.
+# Secret of the masked addresses; a real one is not written in code.
+SECRET = "querybook"
 KNOWN_CUSTOMERS = "c_mktsegment <> 'BUILDING'"
 KNOWN_PRODUCTS = "p_size > 5"
 

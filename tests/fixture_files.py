@@ -52,7 +52,7 @@ ORDERS = """order_id,customer_id,product_id,order_date,ship_date,quantity,unit_p
 116,99,P0001,2023-02-03,2023-02-04,1,19.99,0,19.99,Card,Delivered
 117,1,P0099,2023-02-03,2023-02-04,1,19.99,0,19.99,Card,Delivered
 118,4,P0001,2023-02-03,2023-02-04,1,19.99,0,19.99,Card,Delivered
-999999999999,1,P0001,2023-02-03,2023-02-04,1,19.99,0,19.99,Card,Delivered
+9999999999999999999999999,1,P0001,2023-02-03,2023-02-04,1,19.99,0,19.99,Card,Delivered
 NULL,1,P0001,2023-02-03,2023-02-04,1,19.99,0,19.99,Card,Delivered
 A-1,1,P0001,2023-02-03,2023-02-04,1,19.99,0,19.99,Card,Delivered
 101,1,P0001,2023-01-05,2023-01-07,3,$19.99,10,53.97,Card,Delivered

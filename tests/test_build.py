@@ -81,7 +81,7 @@ def test_rejected_orders_name_their_reasons(shop):
         "113": ["customer_id missing"],
         "114": ["product id malformed"],
         "115": ["payment_method missing"],
-        "999999999999": ["order id out of range"],
+        "9999999999999999999999999": ["order id out of range"],
     }
     assert survivors.count() == len(rejected) + curation.valid_orders(survivors).count()
 
@@ -93,11 +93,22 @@ def test_options(shop):
     assert {row.order_status for row in some.collect()} == {"Delivered", "Shipped"}
 
 
-def test_wide_ids(shop):
-    wide = curation.clean_orders(shop[2], id_type="bigint")
+def test_wide_and_narrow_ids(spark, shop):
+    wide, narrow = curation.clean_orders(shop[2]), curation.clean_orders(shop[2], id_type="int")
     assert dict(wide.dtypes)["order_id"] == dict(wide.dtypes)["customer_id"] == "bigint"
-    assert wide.filter("order_id = 999999999999").count() == 1
-    assert wide.count() == 8
+    assert dict(narrow.dtypes)["order_id"] == dict(narrow.dtypes)["customer_id"] == "int"
+    beyond = shop[2].filter("trim(order_id) = '101'").withColumn("order_id", F.lit("3000000101"))
+    assert curation.clean_orders(beyond).first().order_id == 3_000_000_101
+    assert curation.clean_orders(beyond, id_type="int").count() == 0
+    customers = shop[0].filter("customer_id = 1").withColumn("customer_id", F.lit(3_000_000_000))
+    assert curation.clean_customers(customers).first().customer_id == 3_000_000_000
+    assert curation.clean_customers(customers, id_type="int").count() == 0
+
+
+def test_product_id_pattern(shop):
+    products = shop[1].withColumn("product_id", F.replace("product_id", F.lit("P"), F.lit("SKU-")))
+    assert curation.clean_products(products).count() == 0
+    assert curation.clean_products(products, r"^SKU-\d{4}$").count() == curation.clean_products(shop[1]).count() > 0
 
 
 def test_funnel(shop):
@@ -119,7 +130,7 @@ def test_tables(layers):
 
 
 SCHEMAS = {
-    "sales_curated": "order_id int, order_date date, ship_date date, customer_id int, customer_name string, country string, "
+    "sales_curated": "order_id bigint, order_date date, ship_date date, customer_id bigint, customer_name string, country string, "
     "state string, product_id string, product_name string, category string, brand string, quantity int, unit_price decimal(10,2), "
     "discount_pct decimal(5,2), total_amount decimal(27,2), cost decimal(10,2), profit decimal(29,2), payment_method string, order_status string",
     "margin": "order_date date, product_name string, quantity int, cost decimal(10,2), unit_price decimal(10,2), "
@@ -128,7 +139,7 @@ SCHEMAS = {
     "payment_summary": "payment_method string, orders bigint, revenue decimal(38,2), profit decimal(38,2)",
     "dim_date": "date_key int, full_date date, year int, quarter int, month_number int, month_name string, day_of_month int, "
     "day_of_week_number int, day_name string",
-    "fact_sales": "order_id int, customer_key bigint, product_key bigint, date_key int, customer_id int, product_id string, "
+    "fact_sales": "order_id bigint, customer_key bigint, product_key bigint, date_key int, customer_id bigint, product_id string, "
     "order_date date, quantity int, unit_price decimal(10,2), discount_pct decimal(5,2), total_amount decimal(27,2), "
     "profit decimal(29,2), payment_method string, order_status string",
 }
@@ -184,7 +195,7 @@ def test_dashboard(layers):
     activity = {row.customer_id: row.days_since_last_order for row in dashboard.customer_activity(fact, customers, gold["dim_date"]).collect()}
     assert activity == {1: 0, 2: 26, 3: 25}
     assert tuple(dashboard.customer_counts(customers).first()) == (3, 2, 1)
-    shown = dashboard.showable_customers(customers)
+    shown = dashboard.showable_customers(customers, "secret")
     assert not set(shown.columns) & {"first_name", "last_name", "email", "phone", "postal_code"}
 
 

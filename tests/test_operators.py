@@ -9,7 +9,7 @@ from tillwright.operators.checks import (
     BadRows, KnownKey, SameTotal, UniqueKey, duplicate_keys, enforce, report, row_counts, side_by_side,
 )
 from tillwright.operators.dedup import one_row_per_key
-from tillwright.operators.keys import dense_key
+from tillwright.operators.keys import dense_key, rows_before
 from tillwright.operators.ranking import ranked, top
 from tillwright.operators.references import keep_referenced, orphan_keys, with_attributes, with_surrogate
 
@@ -81,6 +81,20 @@ def test_dense_key_over_text(spark, partitions):
     assert sorted((row.key, row.name) for row in keyed) == list(enumerate(names, 1))
 
 
+def test_dense_key_keeps_null_first(spark):
+    for kind, values in (("bigint", [5, None, 2**40]), ("string", ["b", None, "c"])):
+        rows = dense_key(spark.createDataFrame([(value,) for value in values], f"id {kind}"), "id", "key").collect()
+        assert {row.id: row.key for row in rows} == dict(zip([None, values[0], values[2]], [1, 2, 3]))
+
+
+def test_counts_of_sparse_ids_are_one_per_partition(spark):
+    df = spark.range(20_000).select((F.col("id") * 461_168_601_842_738).alias("id")).repartition(8)
+    keyed = dense_key(df, "id", "key")
+    assert keyed.agg(F.min("key"), F.max("key"), F.count_distinct("key")).first() == (1, 20_000, 20_000)
+    numbered = df.repartitionByRange("id").withColumn("_slice", F.spark_partition_id())
+    assert rows_before(numbered).count() <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def test_dense_key_of_nothing(spark):
     for kind in ("int", "string"):
         assert dense_key(spark.createDataFrame([], f"id {kind}"), "id", "key").count() == 0

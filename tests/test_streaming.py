@@ -38,6 +38,29 @@ def test_increments_equal_one_batch(spark, tmp_path, backwards):
     whole = clean_orders(files.read_orders(spark, str(inbox)))
     assert sorted(map(repr, merged.collect())) == sorted(map(repr, whole.collect()))
     assert merged.filter("order_id = 101").first().quantity == 4
+    increments.compact(spark, folder, str(tmp_path / "compact"))
+    again = increments.merged_orders(spark, str(tmp_path / "compact"))
+    assert sorted(map(repr, again.collect())) == sorted(map(repr, whole.collect()))
+    few = increments.merged_orders(spark, folder, statuses=("Delivered",))
+    assert sorted(map(repr, few.collect())) == sorted(map(repr, whole.filter("order_status = 'Delivered'").collect()))
+
+
+def test_options_equal_one_batch(spark, tmp_path):
+    (tmp_path / "inbox").mkdir()
+    (tmp_path / "inbox" / "0.csv").write_text(ORDERS.strip("\n") + "\n")
+    stream = spark.readStream.options(**files.CSV_OPTIONS).schema(schemas.ORDERS_RAW).csv(str(tmp_path / "inbox"))
+    options = {"payment_names": {"Credit Card": ("card",)}, "statuses": ("Delivered", "Shipped"), "id_type": "int"}
+    streamed = increments.curate_available(stream, **options)
+    whole = clean_orders(files.read_orders(spark, str(tmp_path / "inbox")), **options)
+    assert streamed.dtypes == whole.dtypes
+    assert sorted(map(repr, streamed.collect())) == sorted(map(repr, whole.collect()))
+
+
+def test_a_stream_that_had_nothing(spark, tmp_path):
+    (tmp_path / "inbox").mkdir()
+    stream = spark.readStream.options(**files.CSV_OPTIONS).schema(schemas.ORDERS_RAW).csv(str(tmp_path / "inbox"))
+    orders = increments.curate_available(stream)
+    assert orders.count() == 0 and "order_id" in orders.columns
 
 
 def test_first_arrivals_drops_repeats(spark, tmp_path):

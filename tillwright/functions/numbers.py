@@ -7,7 +7,7 @@ from pyspark.sql import Column, functions as F
 # Result types.
 MONEY = "decimal(10,2)"
 PERCENT = "decimal(5,2)"
-ID = "int"
+ID = "bigint"
 
 
 def list_price(text: Column) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, functions as F
@@ -71,6 +72,12 @@ def matches(text: Column, pattern: str = PRODUCT_ID_PATTERN) -> Column:
     return text.rlike(pattern)
 
 
-def fingerprint(text: Column) -> Column:
-    """SHA-256 of trimmed lower-case text, to link records without showing them."""
-    return F.sha2(F.lower(F.trim(text)), 256)
+def fingerprint(text: Column, secret: str) -> Column:
+    """Keyed SHA-256 (HMAC) of trimmed lower-case text, to link records without showing them.
+
+    Without the secret an address cannot be confirmed by hashing a guess.
+    """
+    key = hashlib.sha256(secret.encode()).digest().ljust(64, b"\0")
+    inner, outer = (bytes(byte ^ pad for byte in key).hex() for pad in (0x36, 0x5C))
+    first = F.sha2(F.concat(F.unhex(F.lit(inner)), F.lower(F.trim(text)).cast("binary")), 256)
+    return F.sha2(F.concat(F.unhex(F.lit(outer)), F.unhex(first)), 256)

@@ -1,63 +1,39 @@
 """Dense surrogate keys: 1..n in the order of a unique column, without a one-task window.
 
-Rows are cut into slices that are ordered among themselves. A row's key is the number of rows
-in earlier slices plus its place in its own slice, so only the slice counts ever meet in one
-task.
+Rows are range-partitioned and sorted; a row's key is the number of rows in earlier partitions plus
+its place in its own. Only the partition counts ever meet in one task, whatever the type of the
+column and however sparse its values.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
-from pyspark.sql.types import IntegerType, LongType, ShortType
 
 from tillwright.session import stored
 
-# A slice spans 2**20 consecutive ids. Ids are unique, so it holds at most that many rows; all
-# the ids of a 32-bit column fall into at most 4,096 slices.
-SLICE_BITS = 20
+# ``monotonically_increasing_id`` has the place within the partition in its lower 33 bits.
+PLACE_BITS = 33
 
 
 def dense_key(df: DataFrame, by: str, name: str) -> DataFrame:
-    """Put column ``name`` in front: the place of the row in the order of the unique column ``by``."""
-    if isinstance(df.schema[by].dataType, (ShortType, IntegerType, LongType)):
-        return _key_by_id_slice(df, by, name)
-    return _key_by_range(df, by, name)
+    """Put column ``name`` in front: the place of the row in the order of ``by``, NULL first.
 
-
-def _rows_before(counts: DataFrame) -> DataFrame:
-    """Slice counts → number of rows in earlier slices. One row per slice, hence the plain window."""
-    earlier = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    return counts.select("_slice", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
-
-
-def _key_by_id_slice(df: DataFrame, by: str, name: str) -> DataFrame:
-    slice_of = F.shiftright(F.col(by), SLICE_BITS).cast("bigint")
-    sliced = df.withColumn("_slice", slice_of)
-    counts = df.groupBy(slice_of.alias("_slice")).agg(F.count("*").alias("_rows"))
-    place = F.row_number().over(Window.partitionBy("_slice").orderBy(by))
-    return (
-        sliced.withColumn("_place", place)
-        .join(_rows_before(counts), "_slice")
-        .select((F.col("_before") + F.col("_place")).alias(name), *df.columns)
-    )
-
-
-def _key_by_range(df: DataFrame, by: str, name: str) -> DataFrame:
-    """For text and other ordered types.
-
-    ``monotonically_increasing_id`` gives the partition number in the upper bits and the place
-    in the partition in the lower 33. Range partitioning samples its bounds, so the numbered rows
-    are stored first: counts and keys then see the same partitions.
+    Range partitioning samples its bounds, so the numbered rows are stored first: counts and
+    keys then see the same partitions.
     """
     numbered = (
         df.repartitionByRange(F.col(by))
         .sortWithinPartitions(by)
         .withColumn("_row", F.monotonically_increasing_id())
-        .withColumn("_slice", F.shiftright("_row", 33))
+        .withColumn("_slice", F.shiftright("_row", PLACE_BITS))
     )
     fixed = stored(numbered, f"dense-{name}")
-    counts = fixed.groupBy("_slice").agg(F.count("*").alias("_rows"))
-    place = F.col("_row").bitwiseAND((1 << 33) - 1)
-    return fixed.join(_rows_before(counts), "_slice").select(
-        (F.col("_before") + place + 1).alias(name), *df.columns
-    )
+    place = F.col("_row").bitwiseAND((1 << PLACE_BITS) - 1)
+    return fixed.join(rows_before(fixed), "_slice").select((F.col("_before") + place + 1).alias(name), *df.columns)
+
+
+def rows_before(numbered: DataFrame) -> DataFrame:
+    """Number of rows in earlier partitions. One row per partition, hence the plain window."""
+    counts = numbered.groupBy("_slice").agg(F.count("*").alias("_rows"))
+    earlier = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    return counts.select("_slice", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))

@@ -91,7 +91,7 @@ def build(
     provider: str = "parquet",
     **order_options,
 ) -> tuple[Layer, Layer]:
-    """Run everything on raw frames; raises when a check fails, after the tables are written.
+    """Run everything on raw frames; raises when a check fails, before the views show the new tables.
 
     ``order_options`` are those of :func:`curation.clean_orders`.
     """
@@ -104,6 +104,6 @@ def build(
     )
     curated_layer = build_curated(*clean, curated, provider)
     gold_layer = build_gold(curated_layer, gold, provider)
-    publish_reports(gold_layer)
     enforce(quality_report(curated_layer, gold_layer))
+    publish_reports(gold_layer)
     return curated_layer, gold_layer

@@ -19,7 +19,7 @@ from tillwright.functions.numbers import (
     ID, at_least_zero, list_price, numeric_id, order_price, percentage, plain_money, whole_number,
 )
 from tillwright.functions.text import (
-    NULL_TOKENS, NUMBER_PLACEHOLDERS, blank_to_null, canonical, email_address, matches, phone_number,
+    NULL_TOKENS, NUMBER_PLACEHOLDERS, PRODUCT_ID_PATTERN, blank_to_null, canonical, email_address, matches, phone_number,
     tokens_to_null, upper_code, yes_no,
 )
 from tillwright.operators.dedup import one_row_per_key
@@ -77,8 +77,9 @@ def parse_customers(raw: DataFrame) -> DataFrame:
     )
 
 
-def clean_customers(raw: DataFrame) -> DataFrame:
-    """One complete row per customer."""
+def clean_customers(raw: DataFrame, id_type: str = ID) -> DataFrame:
+    """One complete row per customer; with ``id_type`` ``int`` larger ids go."""
+    raw = raw.withColumn("customer_id", F.col("customer_id").try_cast(id_type))
     parsed = parse_customers(raw.filter("customer_id is not null"))
     return one_row_per_key(parsed, ["customer_id"]).dropna()
 
@@ -109,9 +110,9 @@ def product_rules() -> dict[str, Column]:
     }
 
 
-def clean_products(raw: DataFrame) -> DataFrame:
+def clean_products(raw: DataFrame, id_pattern: str = PRODUCT_ID_PATTERN) -> DataFrame:
     """One valid row per well-formed product id."""
-    identified = raw.filter(matches(F.trim("product_id")))
+    identified = raw.filter(matches(F.trim("product_id"), id_pattern))
     return one_row_per_key(parse_products(identified), ["product_id"]).filter(requirement(product_rules()))
 
 
@@ -127,7 +128,7 @@ def parse_orders(
     integer, NULL when the id is none.
 
     ``payment_names`` optionally maps spellings of payment methods to one name. By default
-    the methods stay as written. ``id_type`` is ``bigint`` for shops with more ids than ``int`` holds.
+    the methods stay as written. ``id_type`` may be ``int``, which rejects larger ids.
     """
     text = without_tokens(raw)
     method = F.col("payment_method")
@@ -154,12 +155,14 @@ def surviving_orders(
     return one_row_per_key(parse_orders(identified, payment_names, id_type), ["order_id"])
 
 
-def order_rules(statuses: tuple[str, ...] | None = None) -> dict[str, Column]:
+def order_rules(
+    statuses: tuple[str, ...] | None = None, id_pattern: str = PRODUCT_ID_PATTERN
+) -> dict[str, Column]:
     """What a curated order must satisfy; ``statuses`` optionally limits the order status."""
     present = ("customer_id", "order_date", "ship_date", "payment_method", "order_status")
     rules = {
         "order id out of range": F.col("order_number").isNotNull(),
-        "product id malformed": matches(F.col("product_id")),
+        "product id malformed": matches(F.col("product_id"), id_pattern),
         "quantity not positive": F.col("quantity") > 0,
         "unit price negative": F.col("unit_price") >= 0,
         "total amount negative": F.col("total_amount") >= 0,
@@ -171,22 +174,26 @@ def order_rules(statuses: tuple[str, ...] | None = None) -> dict[str, Column]:
     return rules
 
 
-def valid_orders(survivors: DataFrame, statuses: tuple[str, ...] | None = None) -> DataFrame:
+def valid_orders(
+    survivors: DataFrame, statuses: tuple[str, ...] | None = None, id_pattern: str = PRODUCT_ID_PATTERN
+) -> DataFrame:
     """The orders that satisfy all rules, with integer id and recomputed total.
 
     The total that came with the order only serves as a rule.
     """
     total = line_total(F.col("quantity"), F.col("unit_price"), F.col("discount_pct"))
     kept = [name for name in survivors.columns if name not in ("order_id", "order_number", "total_amount")]
-    return survivors.filter(requirement(order_rules(statuses))).select(
+    return survivors.filter(requirement(order_rules(statuses, id_pattern))).select(
         F.col("order_number").alias("order_id"), *kept, total.alias("total_amount")
     )
 
 
-def rejected_orders(survivors: DataFrame, statuses: tuple[str, ...] | None = None) -> DataFrame:
+def rejected_orders(
+    survivors: DataFrame, statuses: tuple[str, ...] | None = None, id_pattern: str = PRODUCT_ID_PATTERN
+) -> DataFrame:
     """The other orders, with the list of rules each one breaks."""
     reasons = [
-        F.when(~F.coalesce(rule, F.lit(False)), F.lit(reason)) for reason, rule in order_rules(statuses).items()
+        F.when(~F.coalesce(rule, F.lit(False)), F.lit(reason)) for reason, rule in order_rules(statuses, id_pattern).items()
     ]
     flagged = survivors.withColumn("reasons", F.array_compact(F.array(*reasons))).drop("order_number")
     return flagged.filter(F.size("reasons") > 0)
@@ -197,9 +204,10 @@ def clean_orders(
     payment_names: Mapping[str, tuple[str, ...]] | None = None,
     statuses: tuple[str, ...] | None = None,
     id_type: str = ID,
+    id_pattern: str = PRODUCT_ID_PATTERN,
 ) -> DataFrame:
     """One valid row per order id; for the options see :func:`parse_orders` and :func:`order_rules`."""
-    return valid_orders(surviving_orders(raw, payment_names, id_type), statuses)
+    return valid_orders(surviving_orders(raw, payment_names, id_type), statuses, id_pattern)
 
 
 # --- row counts -----------------------------------------------------------------------------

@@ -99,6 +99,6 @@ def customer_activity(fact: DataFrame, customers: DataFrame, dates: DataFrame) -
     )
 
 
-def showable_customers(customers: DataFrame) -> DataFrame:
-    """Customers without personal data; a fingerprint of the address still links records."""
-    return customers.select(*SHOWABLE, fingerprint(F.col("email")).alias("email_fingerprint"))
+def showable_customers(customers: DataFrame, secret: str) -> DataFrame:
+    """Customers without personal data; a fingerprint of the address, keyed by ``secret``, still links records."""
+    return customers.select(*SHOWABLE, fingerprint(F.col("email"), secret).alias("email_fingerprint"))

@@ -12,7 +12,7 @@ PRODUCTS_RAW = """
 """
 
 CUSTOMERS_RAW = """
-    customer_id int, first_name string, last_name string, email string, phone string, signup_date date,
+    customer_id bigint, first_name string, last_name string, email string, phone string, signup_date date,
     country string, state string, postal_code string, is_active boolean, loyalty_points int
 """
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 
 SESSION_CATALOG = "spark_catalog"
@@ -40,11 +42,26 @@ def save_view(spark: SparkSession, name: str, query: str) -> DataFrame:
 
 
 def mount(spark: SparkSession, alias: str, path: str, provider: str = "parquet") -> DataFrame:
-    """Make files written elsewhere readable as table ``alias``; nothing is copied."""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {alias} USING {provider} LOCATION '{path}'")
+    """Make files written elsewhere readable as table ``alias``, instead of what it showed before.
+
+    Nothing is copied, and dropping a mounted table leaves its files. A table that owns its files is
+    not replaced.
+    """
+    if spark.catalog.tableExists(alias):
+        if spark.catalog.getTable(alias).tableType != "EXTERNAL":
+            raise ValueError(f"{alias} is a table of its own and cannot be mounted over")
+        spark.sql(f"DROP TABLE {alias}")
+    spark.sql(f"CREATE TABLE {alias} USING {provider} LOCATION '{path}'")
     return spark.table(alias)
 
 
+def mount_all(spark: SparkSession, namespace: str, paths: Mapping[str, str], provider: str = "parquet") -> dict[str, DataFrame]:
+    """Mount several folders under their aliases and refresh them."""
+    mounted = {alias: mount(spark, f"{namespace}.{alias}", path, provider) for alias, path in paths.items()}
+    refresh(spark, *(f"{namespace}.{alias}" for alias in mounted))
+    return mounted
+
+
 def alias_table(spark: SparkSession, alias: str, table: str) -> DataFrame:
     """Make a table of one layer readable under another name in the next."""
     return save_view(spark, alias, f"SELECT * FROM {table}")
