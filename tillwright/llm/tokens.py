@@ -11,6 +11,7 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -47,7 +48,9 @@ class _Tails(dict):
     def __missing__(self, piece: str) -> int:
         if not piece or piece[0].isspace():
             raise _Irregular
-        place = self[piece] = self.table.add(" " + piece)
+        table = self.table
+        place = self[piece] = table.n + len(table.fresh)
+        table.fresh.append(" " + piece)
         return place
 
 
@@ -65,8 +68,8 @@ class PieceTable:
         self.tails = _Tails(self)
         self.fresh: list[str] = []
         self.n = 0
-        self.starts = np.zeros(1024, np.int64)
-        self.lengths = np.zeros(1024, np.int64)
+        self.starts = np.zeros(1024, np.int32)
+        self.lengths = np.zeros(1024, np.int32)
         self.hits = np.zeros(1024, np.int64)
         self.ids = np.zeros(4096, np.int32)
         self.used = 0
@@ -75,9 +78,12 @@ class PieceTable:
         for text, number in self.specials.items():
             self.special_places[text] = self._store(np.array([number]), np.array([1]))
 
-    def add(self, piece: str) -> int:
-        self.fresh.append(piece)
-        return self.n + len(self.fresh) - 1
+    def known(self, word: str) -> np.ndarray | None:
+        """Ids of a word with its space, if it has been encoded as a piece."""
+        place = self.tails.get(word[1:]) if word[0] == " " else None
+        if place is None or place >= self.n:
+            return None
+        return self.ids[self.starts[place] : self.starts[place] + self.lengths[place]]
 
     def _store(self, ids: np.ndarray, lengths: np.ndarray) -> int:
         first, n, used = self.n, self.n + len(lengths), self.used + len(ids)
@@ -114,7 +120,8 @@ class PieceTable:
     def _head(self, piece: str) -> int:
         place = self.heads.get(piece)
         if place is None:
-            place = self.heads[piece] = self.add(piece)
+            place = self.heads[piece] = self.n + len(self.fresh)
+            self.fresh.append(piece)
         return place
 
     def _segment(self, text: str, places: list[int]) -> None:
@@ -147,14 +154,14 @@ class PieceTable:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the texts one after the other, and the number of ids of each."""
-        found = [np.array(self._places(text), np.int64) for text in texts]
+        found = [np.array(self._places(text), np.int32) for text in texts]
         if self.fresh:
             fresh, self.fresh = self.fresh, []
             self._store(*self.encode_pieces(fresh))
-        places = np.concatenate([np.zeros(0, np.int64), *found])
+        places = np.concatenate([np.zeros(0, np.int32), *found])
         lengths = self.lengths[places]
-        ends = np.cumsum(lengths)
-        from_table = np.repeat(self.starts[places] - ends + lengths, lengths) + np.arange(ends[-1] if len(ends) else 0)
+        ends = np.cumsum(lengths, dtype=np.int32)
+        from_table = np.repeat(self.starts[places] - ends + lengths, lengths) + np.arange(ends[-1] if len(ends) else 0, dtype=np.int32)
         ids = self.ids[from_table]
         totals = np.concatenate([[0], ends])
         counts = np.diff(totals[np.cumsum([0, *map(len, found)])])
@@ -179,7 +186,7 @@ def by_words(pieces: list[str], encode_words: Callable[[list[str]], tuple[np.nda
     ]
     ids, lengths = encode_words(list(numbers))
     starts = np.cumsum(lengths) - lengths
-    words = np.fromiter((number for piece in cut for number in piece), np.int64)
+    words = np.fromiter(chain.from_iterable(cut), np.int64)
     sizes = lengths[words]
     ends = np.cumsum(sizes)
     taken = ids[np.repeat(starts[words] - ends + sizes, sizes) + np.arange(sizes.sum())]
@@ -256,12 +263,20 @@ def library_table(definition: str) -> PieceTable:
         model = Tokenizer.from_str(definition).model
         letters = {byte: letter for letter, byte in byte_letters().items()}
 
+        def spelled(word: str) -> str:
+            if word.isascii() and word[1:].isalpha():
+                return letters[ord(word[0])] + word[1:]
+            return word.encode("utf-8", "surrogatepass").decode("latin-1").translate(letters)
+
         def encode_words(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-            spelled = (word.encode("utf-8", "surrogatepass").decode("latin-1").translate(letters) for word in words)
-            found = [[token.id for token in model.tokenize(word)] for word in spelled]
+            found = [
+                [token.id for token in model.tokenize(spelled(word))] if (ids := table.known(word)) is None else ids.tolist()
+                for word in words
+            ]
             lengths = np.fromiter(map(len, found), np.int64, len(found))
-            return np.fromiter((number for ids in found for number in ids), np.int32, lengths.sum()), lengths
+            return np.fromiter(chain.from_iterable(found), np.int32, lengths.sum()), lengths
 
-        return PieceTable(lambda pieces: by_words(pieces, encode_words), special_tokens(definition))
+        table = PieceTable(lambda pieces: by_words(pieces, encode_words), special_tokens(definition))
+        return table
 
     return table_of(definition, "library", build)
