@@ -8,41 +8,46 @@ from pyspark.sql import functions as F
 from tillwright.session import stored
 
 
-def _smallest(edges: DataFrame) -> DataFrame:
-    """The smallest neighbour of each ``u``; reduced in every task first, so a hub sends one row per task."""
-    return stored(edges.groupBy("u").agg(F.min("v").alias("m")), "smallest")
+def _with_smallest(edges: DataFrame, down: DataFrame) -> DataFrame:
+    """The edges ``down`` with ``m``, the smallest neighbour that ``edges`` has for their ``u``.
+
+    Tasks reduce their edges first, so a hub sends one row per task. The join is on another form of ``u``,
+    so both sides are shuffled for it and adaptive execution can split a hub's edges.
+    """
+    least = edges.groupBy("u").agg(F.min("v").alias("m")).select(F.bitwise_not("u").alias("k"), "m")
+    return down.withColumn("k", F.bitwise_not("u")).join(least, "k").drop("k")
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
     """Every larger neighbour is linked to the smallest one, the node itself included."""
     both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = _smallest(both).select("u", F.least("u", "m").alias("m"))
-    return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+    linked = _with_smallest(both, both.where("v > u"))
+    return linked.select(F.col("v").alias("u"), F.least("u", "m").alias("v")).where("u <> v").distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Every smaller neighbour, and the node itself, is linked to the smallest one."""
-    down = stored(edges, "large-star")
-    least = _smallest(down)
-    linked = down.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return linked.union(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
+    linked = _with_smallest(edges, edges)
+    return linked.select(F.col("v").alias("u"), F.col("m").alias("v")).union(linked.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
+
+
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether every ``u`` has one ``v``, which has none itself."""
+    twice = edges.groupBy("u").agg(F.count("*").alias("n")).where("n > 1")
+    onward = edges.select(F.col("v").alias("u")).join(edges, "u", "left_semi")
+    return twice.isEmpty() and onward.isEmpty()
 
 
 def components(edges: DataFrame) -> DataFrame:
     """``node, component`` for every node of the links ``a, b``: the smallest node that can be reached.
 
-    Alternating stars (large, then small) until nothing changes; each round is written to the shared
-    folder, which cuts the lineage. Links to oneself, nulls and repeats don't matter.
+    Alternating stars (large, then small) until every component is one star; each round is written to the
+    shared folder, which cuts the lineage. Links to oneself, nulls and repeats don't matter.
     """
     now = stored(
         edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges"
     )
-    seen = None
-    while True:
-        state = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if state == seen or not state[0]:
-            break
-        seen = state
-        now = stored(_small_star(_large_star(now)), "stars")
+    while not _are_stars(now):
+        now = stored(_small_star(stored(_large_star(now), "large-star")), "stars")
     roots = now.select(F.col("v").alias("node")).distinct().withColumn("component", F.col("node"))
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots)

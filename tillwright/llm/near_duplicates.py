@@ -134,8 +134,7 @@ def near_duplicates(
         members.groupBy("bucket").agg(F.count("*").alias("size"), F.min("place").alias("least")).where("size > 1"), "buckets"
     )
     shared = stored(members.join(buckets, "bucket"), "bucket-members")
-    linked = _links(spark, shared, classes, docs, id_col, text_col, words, percent)
-    found = stored(components(linked), "components")
+    found = _connected(spark, shared, classes, docs, id_col, text_col, words, percent)
     placed = classes.select("digest", "node", "first_id").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = placed.groupBy("component").agg(F.min("first_id").alias("component_id"))
     named = stored(placed.join(least, "component").select("digest", "component_id"), "class-components")
@@ -147,11 +146,27 @@ def near_duplicates(
     )
 
 
-def _links(spark, shared, classes, docs, id_col, text_col, words, percent) -> DataFrame:
-    """Links that connect all texts which share a bucket and are similar enough; not all links between them."""
-    links = spark.createDataFrame([], "a bigint, b bigint")
+def _labels(links: DataFrame) -> DataFrame:
+    """``node, component``: for each linked text one that it is connected with, by the smallest place.
+
+    A few steps along the links are enough to tell that most are connected; the rest is compared once more.
+    """
+    a, b = F.struct(_place(F.col("a")).alias("place"), F.col("a").alias("node")), F.struct(_place(F.col("b")).alias("place"), F.col("b").alias("node"))
+    pairs = links.select(F.greatest(a, b)["node"].alias("node"), F.least(a, b).alias("least"))
+    nearest = pairs.groupBy("node").agg(F.min("least")["node"].alias("component"))
+    for _ in range(2):
+        onward = nearest.select(F.col("node").alias("component"), F.col("component").alias("further"))
+        nearest = stored(
+            nearest.join(onward, "component", "left").select("node", F.coalesce("further", "component").alias("component")), "labels"
+        )
+    return nearest
+
+
+def _connected(spark, shared, classes, docs, id_col, text_col, words, percent) -> DataFrame:
+    """``node, component`` of the texts that are linked with others which share a bucket."""
     if shared.isEmpty():
-        return links
+        return spark.createDataFrame([], "node bigint, component bigint")
+    links = spark.createDataFrame([], "a bigint, b bigint")
     nodes = shared.select("node").distinct().join(classes.select("node", "first_id", "digest"), "node")
     texts = stored(_class_texts(docs, nodes, id_col, text_col, words), "class-texts")
     rest = shared.withColumn("component", F.col("node"))
@@ -171,8 +186,7 @@ def _links(spark, shared, classes, docs, id_col, text_col, words, percent) -> Da
         pairs = pairs.select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
         with small_batches(spark):
             links = links.union(stored(_confirmed(pairs, texts, words, percent), "links"))
-        found = stored(components(links), "components")
-        rest = rest.where("place > until").drop("component").join(found, "node", "left")
+        rest = rest.where("place > until").drop("component").join(_labels(links), "node", "left")
         rest = rest.withColumn("component", F.coalesce("component", "node")).drop("until")
         rest = stored(rest, "unconnected")
         open_buckets = stored(
@@ -180,9 +194,9 @@ def _links(spark, shared, classes, docs, id_col, text_col, words, percent) -> Da
             "open",
         )
         if open_buckets.isEmpty():
-            return links
+            return stored(components(links), "components")
         rest = rest.join(open_buckets, "bucket")
-        hubs_wanted *= 4
+        hubs_wanted *= 16
 
 
 def _class_texts(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
