@@ -36,7 +36,7 @@ WIDTH, GRAM = 400, 32
 #: Stretches of one first digit that are sorted in one task; more are counted over all tasks.
 TOGETHER = 2000
 #: Suffixes that are sorted in one call, and bytes of a text that are fingerprinted in one call.
-AT_ONCE, PIECE = 2_000_000, 1 << 20
+AT_ONCE, PIECE = 500_000, 1 << 19
 _PLACE_BITS = 22
 
 
@@ -166,15 +166,19 @@ def _with_spans(stretches: DataFrame, texts: DataFrame, width: int) -> DataFrame
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            for key, text, found in zip(frame["key"], frame["text"], frame["found"], strict=True):
-                data = text.encode("utf-8", "surrogatepass")
+            for begin in range(0, len(frame), 500):
+                part, spans = frame.iloc[begin : begin + 500], []
+                for text, places in zip(part["text"], part["places"], strict=True):
+                    data = text.encode("utf-8", "surrogatepass")
+                    spans += [data[place >> 11 : (place >> 11) + (place >> 1 & 1023) + width - 1] for place in places.tolist()]
                 yield pd.DataFrame({
-                    "digit": [row["digit"] for row in found], "key": key, "place": [row["place"] for row in found],
-                    "span": [data[row["place"] >> 11 : (row["place"] >> 11) + (row["place"] >> 1 & 1023) + width - 1] for row in found],
+                    "digit": np.concatenate(list(part["digits"])), "key": np.repeat(part["key"].to_numpy(), part["places"].map(len)),
+                    "place": np.concatenate(list(part["places"])), "span": spans,
                 })
 
-    per_text = stretches.groupBy("key").agg(F.collect_list(F.struct("digit", "place")).alias("found"))
-    rows = per_text.join(texts.select("key", "text"), "key").select("key", "text", "found")
+    lists = F.sort_array(F.collect_list(F.struct("digit", "place")))
+    per_text = stretches.groupBy("key").agg(lists.alias("found")).select("key", F.col("found.digit").alias("digits"), F.col("found.place").alias("places"))
+    rows = per_text.join(texts.select("key", "text"), "key").select("key", "text", "digits", "places")
     return rows.mapInPandas(run, "digit bigint, key bigint, place bigint, span binary")
 
 
@@ -216,29 +220,30 @@ def _cut(docs: DataFrame, text_col: str, width: int, made: Callable[[bytes, list
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             rows = []
-            for key, text, copies, found in zip(frame["key"], frame["text"], frame["copies"], frame["found"], strict=True):
+            for key, text, copies, first, last in frame.itertuples(index=False):
                 data = text.encode("utf-8", "surrogatepass")
-                ranges = [(0, len(data))] if copies > 1 and len(data) >= width else _merged(found, width)
+                ranges = [(0, len(data))] if copies > 1 and len(data) >= width else _merged(first, last, width)
                 rows.append({"key": key} | made(data, ranges))
             yield pd.DataFrame(rows)
 
-    found = _repeats(texts, width).groupBy("key").agg(F.collect_list(F.struct("first", "last")).alias("found"))
     with small_batches(spark):
-        result = stored(texts.join(found, "key", "left").select("key", "text", "copies", "found").mapInPandas(run, "key bigint, " + schema), "cut")
+        found = _repeats(texts, width).groupBy("key").agg(F.collect_list(F.struct("first", "last")).alias("found"))
+        rows = texts.join(found, "key", "left").select("key", "text", "copies", "found.first", "found.last")
+        result = stored(rows.mapInPandas(run, "key bigint, " + schema), "cut")
     spark.sql(f"DROP TABLE {table}")
     remove_folder(spark, folder)
     return result
 
 
-def _merged(found, width: int) -> list[tuple[int, int]]:
-    """Byte ranges covered by the windows, overlapping and touching ones joined."""
-    ranges: list[tuple[int, int]] = []
-    for first, last in sorted((row["first"], row["last"] + width) for row in ([] if found is None else found)):
-        if ranges and first <= ranges[-1][1]:
-            ranges[-1] = ranges[-1][0], max(last, ranges[-1][1])
-        else:
-            ranges.append((first, last))
-    return ranges
+def _merged(first: np.ndarray | None, last: np.ndarray | None, width: int) -> list[tuple[int, int]]:
+    """Byte ranges covered by the windows from ``first`` to ``last``, overlapping and touching ones joined."""
+    if first is None or not len(first):
+        return []
+    order = np.argsort(first, kind="stable")
+    starts, ends = first[order], np.maximum.accumulate(last[order] + width)
+    opens = np.concatenate([[True], starts[1:] > ends[:-1]])
+    closes = np.concatenate([opens[1:], [True]])
+    return list(zip(starts[opens].tolist(), ends[closes].tolist(), strict=True))
 
 
 def _kept(data: bytes, ranges: list[tuple[int, int]]) -> bytes:
@@ -269,7 +274,9 @@ def without_repeats(docs: DataFrame, text_col: str = "text", width: int = WIDTH)
 
     cut = _cut(docs, text_col, width, made, "kept_text string")
     text = docs[f"`{text_col}`"]
-    joined = docs.join(cut, F.xxhash64(F.coalesce(text, F.lit(""))) == cut["key"])
-    return joined.select(*(
-        F.when(text.isNotNull(), cut["kept_text"]).alias(name) if name == text_col else docs[f"`{name}`"] for name in docs.columns
-    ))
+    others = [docs[f"`{name}`"].alias(f"c{n}") for n, name in enumerate(docs.columns) if name != text_col]
+    rows = docs.select(F.xxhash64(F.coalesce(text, F.lit(""))).alias("key"), text.isNotNull().alias("has_text"), *others)
+    kept = F.when(F.col("has_text"), F.col("kept_text"))
+    return rows.join(cut, "key").select(
+        *((kept if name == text_col else F.col(f"c{n}")).alias(name) for n, name in enumerate(docs.columns))
+    )

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import functools
-
 import numpy as np
 
 from tillwright.llm.shingles import mixed
@@ -13,23 +11,24 @@ _LETTERS = _RANDOM.integers(0, 1 << 63, (2, 256), np.uint64) * np.uint64(2) + np
 _BASES = [int(base) * 2 + 1 for base in _RANDOM.integers(1 << 60, 1 << 62, 2, np.uint64)]
 
 
-@functools.cache
-def _powers(which: int, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse modulo 2**64."""
-    def powers(base: int) -> np.ndarray:
-        found = np.full(size, base, np.uint64)
-        found[0] = 1
-        return np.multiply.accumulate(found)
+_tables: dict[int, np.ndarray] = {}
 
-    return powers(_BASES[which]), powers(pow(_BASES[which], -1, 1 << 64))
+
+def _powers(base: int, size: int) -> np.ndarray:
+    """Powers of the base modulo 2**64; the longest table asked for is kept."""
+    if len(_tables.get(base, ())) < size:
+        found = np.full(1 << int(size - 1).bit_length(), base, np.uint64)
+        found[0] = 1
+        _tables[base] = np.multiply.accumulate(found, out=found)
+    return _tables[base]
 
 
 class Fingerprints:
     """Fingerprint of any stretch of ``data`` in constant time, by sums of weighted letters."""
 
     def __init__(self, data: np.ndarray, which: int):
-        size = 1 << max(12, int(len(data)).bit_length())
-        powers, self.inverse = _powers(which, size)
+        powers = _powers(_BASES[which], len(data) + 1)
+        self.inverse = _powers(pow(_BASES[which], -1, 1 << 64), len(data) + 1)
         self.sums = np.zeros(len(data) + 1, np.uint64)
         np.cumsum(_LETTERS[which][data] * powers[: len(data)], out=self.sums[1:])
 
