@@ -146,22 +146,6 @@ def near_duplicates(
     )
 
 
-def _labels(links: DataFrame) -> DataFrame:
-    """``node, component``: for each linked text one that it is connected with, by the smallest place.
-
-    A few steps along the links are enough to tell that most are connected; the rest is compared once more.
-    """
-    a, b = F.struct(_place(F.col("a")).alias("place"), F.col("a").alias("node")), F.struct(_place(F.col("b")).alias("place"), F.col("b").alias("node"))
-    pairs = links.select(F.greatest(a, b)["node"].alias("node"), F.least(a, b).alias("least"))
-    nearest = pairs.groupBy("node").agg(F.min("least")["node"].alias("component"))
-    for _ in range(2):
-        onward = nearest.select(F.col("node").alias("component"), F.col("component").alias("further"))
-        nearest = stored(
-            nearest.join(onward, "component", "left").select("node", F.coalesce("further", "component").alias("component")), "labels"
-        )
-    return nearest
-
-
 def _connected(spark, shared, classes, docs, id_col, text_col, words, percent) -> DataFrame:
     """``node, component`` of the texts that are linked with others which share a bucket."""
     if shared.isEmpty():
@@ -186,7 +170,8 @@ def _connected(spark, shared, classes, docs, id_col, text_col, words, percent) -
         pairs = pairs.select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
         with small_batches(spark):
             links = links.union(stored(_confirmed(pairs, texts, words, percent), "links"))
-        rest = rest.where("place > until").drop("component").join(_labels(links), "node", "left")
+        found = stored(components(links), "components")
+        rest = rest.where("place > until").drop("component").join(found, "node", "left")
         rest = rest.withColumn("component", F.coalesce("component", "node")).drop("until")
         rest = stored(rest, "unconnected")
         open_buckets = stored(
@@ -194,7 +179,7 @@ def _connected(spark, shared, classes, docs, id_col, text_col, words, percent) -
             "open",
         )
         if open_buckets.isEmpty():
-            return stored(components(links), "components")
+            return found
         rest = rest.join(open_buckets, "bucket")
         hubs_wanted *= 16
 
