@@ -39,7 +39,7 @@ CASES = [
     (text.upper_code, [" mn ", "Minnesota", None], ["MN", "MINNESOTA", None]),
     (text.yes_no, ["TRUE", "Yes", "y", "False", "NO", "n", "1", "0", "maybe", None], [True] * 3 + [False] * 3 + [None] * 4),
     (text.matches, ["P0001", "P123", "P12345", "p0001", "XP0001", None], [True, False, False, False, False, None]),
-    (numbers.numeric_id, ["7", "007", "-7", "+7", "7.0", "BADID", "", "123456789012", None], [7, 7] + [None] * 7),
+    (numbers.numeric_id, ["7", "007", "-7", "+7", "7.0", "BADID", "", "1234567890123456789012345", None, "123456789012"], [7, 7] + [None] * 7 + [123456789012]),
     (numbers.whole_number, ["5", "-3", "0", "five", "", "5.7", "99999999999", None], [5, -3, 0] + [None] * 5),
     (
         numbers.list_price,
