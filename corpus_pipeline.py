@@ -3,8 +3,8 @@
 Each stage takes ``(spark, docs, sf_dir)`` and works on all that its predecessor kept; all but the last return the columns
 of ``documents``, texts of the fourth being shorter. Models are fitted on the labels of documents that are still there.
 
-Null texts are empty to every stage. Rows without ``doc_id`` can't be kept as one of a group and leave at the near-dedup; of
-rows that share a ``doc_id`` (repeats included) it keeps one. Further columns are carried along to the last stage.
+Null texts are empty to every stage. Rows count as documents of their own, also without ``doc_id`` or with one that others
+have: the near-dedup keeps one row of each group and all rows that are in none. Further columns are carried along to the last stage.
 """
 
 from __future__ import annotations
@@ -39,9 +39,18 @@ def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, the one with the smallest id: five words, similarity 0.8."""
-    kept = near_duplicates.near_duplicates(docs).where("kept").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    """One row of each group of near duplicates, the one with the smallest id (null last): five words, similarity 0.8.
+
+    Groups are of rows, which get stored numbers for it; rows without words are in none.
+    """
+    number = "row"
+    while number in map(str.lower, docs.columns):
+        number += "_"
+    rows = stored(docs.withColumn(number, F.monotonically_increasing_id()), "numbered")
+    groups = near_duplicates.near_duplicates(rows, id_col=number).select(number, "component_id")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", number)).alias("first")
+    kept = groups.join(rows.select(number, "doc_id"), number).groupBy("component_id").agg(first).select(f"first.{number}")
+    return rows.join(kept, number, "left_semi").select(*(rows[f"`{name}`"] for name in docs.columns))
 
 
 def without_shared_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

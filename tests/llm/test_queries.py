@@ -97,3 +97,19 @@ def test_pipeline_takes_odd_rows(spark):
     for _, stage in corpus_pipeline.STAGES[:2]:
         assert stage(spark, odd, SF_DIR).columns == odd.columns
         assert stage(spark, odd.limit(0), SF_DIR).collect() == []
+
+
+def test_pipeline_keeps_rows_without_or_with_a_reused_id(spark):
+    def words(name):
+        return " ".join(f"{name}{n}" for n in range(40))
+
+    rows = [
+        (None, words("a"), "unique"), (None, words("b"), "unique"), (7, words("c"), "unique"), (7, words("d"), "copy"), (3, words("d") + " end", "first"),
+        (None, words("e"), "copy"), (9, words("e"), "first"), (None, words("f"), "one"), (None, words("f"), "one"), (8, None, "empty"), (8, "", "empty"),
+    ]
+    for parts in (1, 5):
+        docs = spark.createDataFrame(rows, "doc_id bigint, text string, row string").repartition(parts)
+        found = corpus_pipeline.distinct(spark, docs, SF_DIR)
+        assert found.columns == docs.columns
+        expected = [rows[n] for n in (0, 1, 2, 4, 6, 7, 9, 10)]
+        assert sorted(map(repr, map(tuple, found.collect()))) == sorted(map(repr, expected))
