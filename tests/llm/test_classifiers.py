@@ -119,3 +119,15 @@ def test_held_out_is_by_checksum(spark):
     keys = spark.createDataFrame([(n,) for n in [*range(50), None]], "doc_id bigint")
     found = {row[0]: row[1] for row in keys.select("doc_id", toxicity.held_out(keys["doc_id"])).collect()}
     assert found == {n: zlib.crc32(str(n).encode()) % 4 == 2 for n in range(50)} | {None: False}
+
+
+def test_a_key_counts_once_in_the_sample(spark, tables):
+    docs, labels = tables
+    # a third of all rows bears one labelled key, with texts of its own and without
+    again = spark.createDataFrame([(1, text, 1, "x") for text in [None, "", *(prose("a") for _ in range(198))]], docs.schema)
+    grades = quality.graded_labels(labels)
+    one, other = (hashed_text.labelled_sample(frame, grades, "doc_id", "text", 3) for frame in (docs, docs.union(again).repartition(4)))
+    assert (np.bincount(other.grades) == np.bincount(one.grades)).all() and np.bincount(one.grades).tolist() == [100, 100, 200]
+    assert np.allclose(other.weights, 1)
+    texts = {frozenset(other.columns[a:b].tolist()) for a, b in zip(other.starts[:-1], other.starts[1:], strict=True)}
+    assert frozenset() not in texts

@@ -106,7 +106,8 @@ def labelled_sample(docs: DataFrame, grades: DataFrame, id_col: str, text_col: s
 
     ``grades`` has ``id_col`` and ``grade`` (0 to ``n_grades`` - 1). Of each grade, up to ``max_texts`` texts with
     the smallest hashes of their key are taken. Keys with several grades have the lowest.
-    Sample, term counts and terms are bounded by the parameters, whatever the size of the tables.
+    Of a key with several rows the greatest text counts, so that texts and weights are by key; null is lowest.
+    Sample, term counts and terms are bounded by the parameters, whatever the size of the tables and however often a key occurs.
     """
     key = docs[f"`{id_col}`"].alias("id")
     ids = docs.select(key).where("id IS NOT NULL").distinct()
@@ -126,7 +127,8 @@ def labelled_sample(docs: DataFrame, grades: DataFrame, id_col: str, text_col: s
             ]
             yield pd.DataFrame({"grade": frame["grade"], "terms": found})
 
-    texts = docs.select(key, docs[f"`{text_col}`"].alias("text")).join(F.broadcast(chosen), "id").select("grade", "text")
+    rows = docs.select(key, docs[f"`{text_col}`"].alias("text")).join(F.broadcast(chosen), "id")
+    texts = rows.groupBy("id", "grade").agg(F.max("text").alias("text"))
     sampled = stored(texts.mapInPandas(terms, "grade int, terms array<bigint>"), "sample")
     sizes = {row["grade"]: row["n"] for row in sampled.groupBy("grade").agg(F.count("*").alias("n")).collect()}
     total = sum(sizes.values())
