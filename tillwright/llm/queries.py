@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwright.llm import alignment, bpe, fingerprints, near_duplicates, packing, quality, repeats, sql, token_files, toxicity, url_lists, vectors
+from tillwright.llm import alignment, bpe, fingerprints, near_duplicates, packing, quality, repeats, spelling, sql, token_files, toxicity, url_lists, vectors
 from tillwright.session import scratch_path
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -102,6 +102,11 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scores.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents, one run in thirty-one short of a letter, with the frequent words one letter away."""
+    return spelling.spelling_variants(documents(spark, sf_dir), every=31)
+
+
 def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups in which the ids of two tokenizers cover the same bytes, and how many documents hold each linked pair."""
     return alignment.alignment_digests(documents(spark, sf_dir), VOCABULARY, PIECES)
@@ -111,7 +116,7 @@ QUERIES = {
     query.__name__: query
     for query in (
         op1_minhash_near_duplicates, op2_url_lists, op3_repeated_windows, op4_packing, op5_quality_grades, op6_token_files,
-        op7_fingerprints, op8_bpe_round_trip, op9_embedding_links, op10_toxicity, op12_tokenizer_alignment,
+        op7_fingerprints, op8_bpe_round_trip, op9_embedding_links, op10_toxicity, op11_spelling_variants, op12_tokenizer_alignment,
     )
 }
 
