@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwright.llm import alignment, bpe, fingerprints, near_duplicates, packing, quality, repeats, spelling, sql, token_files, toxicity, url_lists, vectors
+from tillwright.llm import alignment, bpe, fingerprints, near_duplicates, packing, quality, quality_rules, repeats, spelling, sql, token_files, toxicity, url_lists, vectors
 from tillwright.session import scratch_path
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -112,11 +112,17 @@ def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.alignment_digests(documents(spark, sf_dir), VOCABULARY, PIECES)
 
 
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document judged by fixed rules, then by limits of its language and source."""
+    figures = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    return quality_rules.judged(documents(spark, sf_dir)).select("doc_id", *figures, "base_failed", "kept")
+
+
 QUERIES = {
     query.__name__: query
     for query in (
         op1_minhash_near_duplicates, op2_url_lists, op3_repeated_windows, op4_packing, op5_quality_grades, op6_token_files,
-        op7_fingerprints, op8_bpe_round_trip, op9_embedding_links, op10_toxicity, op11_spelling_variants, op12_tokenizer_alignment,
+        op7_fingerprints, op8_bpe_round_trip, op9_embedding_links, op10_toxicity, op11_spelling_variants, op12_tokenizer_alignment, op13_quality_rules,
     )
 }
 
@@ -126,4 +132,5 @@ ORACLE = {
     "op3_repeated_windows": sql.REPEATS,
     "op7_fingerprints": sql.FINGERPRINTS,
     "op9_embedding_links": sql.VECTORS,
+    "op13_quality_rules": sql.QUALITY_RULES,
 }

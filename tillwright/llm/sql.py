@@ -144,3 +144,67 @@ SELECT e.vec_id, coalesce(counted.n, 0) AS n_links, coalesce(least.component_id,
   e.vec_id = coalesce(least.component_id, e.vec_id) AS kept
 FROM embeddings e LEFT JOIN least ON least.node = e.vec_id LEFT JOIN counted ON counted.a = e.vec_id
 """
+
+# Rows are told apart by a number of their own; a measure's value is rounded to its six leading bits.
+QUALITY_RULES = r"""
+WITH texts AS (
+    SELECT row_number() OVER () AS r, doc_id, lang, source, coalesce(text, '') AS t FROM documents
+), cut AS (
+    SELECT r, doc_id, lang, source, t,
+        list_filter(regexp_split_to_array(t, '[ \t\n\x0B\f\r]+'), lambda w : w <> '') AS words,
+        list_filter(string_split(t, chr(10)), lambda l : regexp_matches(l, '[^ \t\n\x0B\f\r]')) AS lines
+    FROM texts
+), windows AS (
+    SELECT r, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] AS w
+    FROM (SELECT r, words, unnest(range(1, len(words) - 1)) AS i FROM cut WHERE len(words) > 2)
+), again AS (
+    SELECT r, count(DISTINCT i + k) AS n
+    FROM (SELECT r, i, count(*) OVER (PARTITION BY r, w) AS times FROM windows), unnest([0, 1, 2]) AS more(k)
+    WHERE times > 1 GROUP BY r
+), figures AS (
+    SELECT r, doc_id, lang, source, len(words)::BIGINT AS n_words, length(array_to_string(words, ''))::BIGINT AS word_chars,
+        (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+        (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(n, 0)::BIGINT AS n_repeat_words, len(lines) AS n_lines
+    FROM cut LEFT JOIN again USING (r)
+), judged AS (
+    SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM figures
+), measured AS (
+    SELECT r, lang, source, measure, (v >> greatest(length(bin(v)) - 6, 0)) << greatest(length(bin(v)) - 6, 0) AS v
+    FROM (
+        SELECT r, lang, source, unnest(['word_length', 'symbols', 'dup_lines', 'repeats']) AS measure,
+            unnest([100 * word_chars // n_words, 1000 * n_symbols // n_words, 1000 * n_dup_lines // n_lines, 1000 * n_repeat_words // n_words]) AS v
+        FROM judged WHERE NOT base_failed
+    )
+), levels AS (
+    SELECT 2 AS level, lang, source, measure, v, count(*) AS n FROM measured GROUP BY ALL
+    UNION ALL SELECT 1, lang, NULL, measure, v, count(*) FROM measured GROUP BY ALL
+    UNION ALL SELECT 0, NULL, NULL, measure, v, count(*) FROM measured GROUP BY ALL
+), ranked AS (
+    SELECT *, sum(n) OVER (PARTITION BY level, lang, source, measure ORDER BY v) AS upto,
+        sum(n) OVER (PARTITION BY level, lang, source, measure) AS texts
+    FROM levels
+), quartiles AS (
+    SELECT level, lang, source, measure, max(texts) AS texts, min(v) FILTER (4 * upto >= texts) AS q1, min(v) FILTER (4 * upto >= 3 * texts) AS q3
+    FROM ranked GROUP BY level, lang, source, measure
+), spreads(measure, spread) AS (
+    VALUES ('word_length', 50), ('symbols', 33), ('dup_lines', 100), ('repeats', 100)
+), fences AS (
+    SELECT level, lang, source, measure, texts, q3 + 3 * greatest(q3 - q1, spread) AS most,
+        CASE measure WHEN 'word_length' THEN q1 - 3 * greatest(q3 - q1, spread) END AS least
+    FROM quartiles JOIN spreads USING (measure)
+), picked AS (
+    SELECT own.lang, own.source, own.measure,
+        CASE WHEN own.texts >= 200 THEN own.most WHEN wide.texts >= 200 THEN wide.most ELSE whole.most END AS most,
+        CASE WHEN own.texts >= 200 THEN own.least WHEN wide.texts >= 200 THEN wide.least ELSE whole.least END AS least
+    FROM fences AS own
+    JOIN fences AS wide ON wide.level = 1 AND wide.measure = own.measure AND wide.lang IS NOT DISTINCT FROM own.lang
+    JOIN fences AS whole ON whole.level = 0 AND whole.measure = own.measure
+    WHERE own.level = 2
+), verdicts AS (
+    SELECT r, bool_and(v <= most AND v >= coalesce(least, v)) AS fine
+    FROM measured AS m JOIN picked AS p ON m.measure = p.measure AND m.lang IS NOT DISTINCT FROM p.lang AND m.source IS NOT DISTINCT FROM p.source
+    GROUP BY r
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, coalesce(fine, false) AS kept
+FROM judged LEFT JOIN verdicts USING (r)
+"""
