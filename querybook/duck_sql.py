@@ -566,5 +566,35 @@ STEPS["reasons"] = (
     + ") AS reasons FROM single_orders WHERE regexp_full_match(order_id, '[0-9]+')"
 )
 ORACLE["ext2_rejected_orders"] = "SELECT * FROM reasons WHERE reasons <> ''"
+ORACLE["ext2_stored_order_rejects"] = ORACLE["ext2_rejected_orders"]
+
+
+def reasons(step: str, key: str, rules: dict[str, str]) -> str:
+    """Rows of a step that break a rule, with the names of those they break."""
+    broken = ", ".join(f"CASE WHEN coalesce({rule}, false) THEN NULL ELSE '{name}' END" for name, rule in rules.items())
+    return f"SELECT * FROM (SELECT {key}, concat_ws('; ', {broken}) AS reasons FROM {step}) WHERE reasons <> ''"
+
+
+ORACLE["ext2_stored_customer_rejects"] = reasons(
+    "(SELECT * FROM single_customers WHERE customer_id IS NOT NULL)", "customer_id", {f"{name} missing": f"{name} IS NOT NULL" for name in C}
+)
+ORACLE["ext2_stored_product_rejects"] = reasons("single_products", "product_id", {
+    "price not positive": "price > 0", "cost negative": "cost >= 0", "stock negative": "stock_quantity >= 0",
+    **{f"{name} missing": f"{name} IS NOT NULL" for name in PRODUCT_REQUIRED},
+})
+ORACLE["cln23_counts_of_one_pass"] = ORACLE["cln23_funnel"]
+
+# --- views that the catalog evaluates --------------------------------------------------------
+
+for view, report in (
+    ("executive_kpis", "ag3_executive_kpis"), ("daily_sales", "ag4_daily_sales"), ("category_performance", "ag5_category_performance"),
+    ("product_performance", "ag6_product_performance"), ("payment_performance", "ag7_payment_performance"),
+    ("customer_performance", "ag8_customer_performance"),
+):
+    ORACLE[f"snk3_{view}"] = ORACLE[report]
+ORACLE["snk1_switched_table"] = (
+    "SELECT product_id, 'first' AS version, price FROM all_products UNION ALL "
+    "SELECT product_id, 'second', cast(price * 2 as decimal(10,2)) FROM known_products"
+)
 
 ORACLE = {name: complete(sql) for name, sql in ORACLE.items()}

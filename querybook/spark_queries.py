@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from querybook import standins as si
 from tillwright.functions import dates, measures, numbers, text
@@ -12,9 +12,10 @@ from tillwright.operators.checks import duplicate_keys, report, row_counts
 from tillwright.operators.dedup import one_row_per_key
 from tillwright.operators.ranking import ranked, top
 from tillwright.operators.references import orphan_keys, with_attributes, with_surrogate
-from tillwright.plans import build, curation, dashboard, reports, sales, star, validation
+from tillwright.plans import build, curation, dashboard, reports, sales, star, validation, views
 from tillwright.session import scratch_path
 from tillwright.sources import files, tables
+from tillwright.sources.versions import Staging
 from tillwright.streaming import increments
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -82,6 +83,58 @@ def snk3_reporting_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _gold_view(spark: SparkSession, sf_dir: str, view: str) -> DataFrame:
+    """One of the catalog's views over a star schema that was published with it, as a second session reads it."""
+    gold = _fresh_namespace(spark, "gold")
+    staging = Staging(spark)
+    sold = staging.add(_sales(spark, sf_dir), f"{gold}.sold")
+    curated = {"sales_curated": sold, "customers": si.customers(spark, sf_dir), "products": si.products(spark, sf_dir)}
+    build.stage_gold(staging, curated, gold)
+    views.stage_views(staging, gold)
+    staging.publish()
+    return spark.newSession().table(f"{gold}.{view}")
+
+
+@query
+def snk3_executive_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _gold_view(spark, sf_dir, "vw_executive_kpis")
+
+
+@query
+def snk3_daily_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _gold_view(spark, sf_dir, "vw_daily_sales")
+
+
+@query
+def snk3_category_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _gold_view(spark, sf_dir, "vw_category_performance")
+
+
+@query
+def snk3_product_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _gold_view(spark, sf_dir, "vw_product_performance")
+
+
+@query
+def snk3_payment_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _gold_view(spark, sf_dir, "vw_payment_performance")
+
+
+@query
+def snk3_customer_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _gold_view(spark, sf_dir, "vw_customer_performance")
+
+
+@query
+def snk1_switched_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table after its second version was shown, beside what a reader of the first one still gets."""
+    name = f"{_fresh_namespace(spark, 'curated')}.products"
+    tables.save_table(si.products(spark, sf_dir), name)
+    earlier = spark.table(name).select("product_id", F.lit("first").alias("version"), "price")
+    tables.save_table(_known_products(spark, sf_dir).withColumn("price", F.expr("cast(price * 2 as decimal(10,2))")), name)
+    return earlier.union(spark.table(name).select("product_id", F.lit("second"), "price"))
+
+
 @query
 def cat3_mounted_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "stored-customers")
@@ -703,3 +756,40 @@ def ext2_rejected_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     survivors = curation.surviving_orders(si.raw_orders(spark, sf_dir))
     rejected = curation.rejected_orders(survivors)
     return rejected.select("order_id", F.concat_ws("; ", "reasons").alias("reasons"))
+
+
+def _entities(spark: SparkSession, sf_dir: str, namespace: str, seen: dict[str, Observation] | None = None) -> dict[str, DataFrame]:
+    """Accepted and rejected rows of the three raw frames, stored in one pass over each."""
+    raw = {"customers": si.raw_customers(spark, sf_dir), "products": si.raw_products(spark, sf_dir), "orders": si.raw_orders(spark, sf_dir)}
+    if seen is not None:
+        raw = {name: df.observe(seen[name], F.count(F.lit(1)).alias("rows")) for name, df in raw.items()}
+    return build.stage_entities(Staging(spark), *raw.values(), namespace)
+
+
+def _stored_rejects(spark: SparkSession, sf_dir: str, entity: str, key: str) -> DataFrame:
+    rejected = _entities(spark, sf_dir, _fresh_namespace(spark, "entities"))[f"rejected_{entity}"]
+    return rejected.select(key, F.concat_ws("; ", "reasons").alias("reasons"))
+
+
+@query
+def ext2_stored_customer_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stored_rejects(spark, sf_dir, "customers", "customer_id")
+
+
+@query
+def ext2_stored_product_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stored_rejects(spark, sf_dir, "products", "product_id")
+
+
+@query
+def ext2_stored_order_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stored_rejects(spark, sf_dir, "orders", "order_id")
+
+
+@query
+def cln23_counts_of_one_pass(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The funnel without another scan: raw rows are counted while accepted and rejected ones are written."""
+    seen = {name: Observation(name) for name in ("customers", "products", "orders")}
+    entities = _entities(spark, sf_dir, _fresh_namespace(spark, "entities"), seen)
+    read = {name: one.get["rows"] for name, one in seen.items()}
+    return build.build_funnel(build.layer_counts(spark, read, entities, {}, {}))

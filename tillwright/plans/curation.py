@@ -61,6 +61,12 @@ def all_present(names: list[str] | tuple[str, ...]) -> dict[str, Column]:
     return {f"{name} missing": F.col(name).isNotNull() for name in names}
 
 
+def with_reasons(survivors: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
+    """Rows with ``reasons``, the names of the rules each one breaks; accepted rows break none."""
+    broken = [F.when(~F.coalesce(rule, F.lit(False)), F.lit(reason)) for reason, rule in rules.items()]
+    return survivors.withColumn("reasons", F.array_compact(F.array(*broken)))
+
+
 # --- customers ------------------------------------------------------------------------------
 
 
@@ -77,11 +83,20 @@ def parse_customers(raw: DataFrame) -> DataFrame:
     )
 
 
+def surviving_customers(raw: DataFrame, id_type: str = ID) -> DataFrame:
+    """One parsed row per customer id; rows without one cannot become customers."""
+    raw = raw.withColumn("customer_id", F.col("customer_id").try_cast(id_type))
+    return one_row_per_key(parse_customers(raw.filter("customer_id is not null")), ["customer_id"])
+
+
+def customer_rules(survivors: DataFrame) -> dict[str, Column]:
+    """What a curated customer must satisfy: every column has a value."""
+    return all_present(survivors.columns)
+
+
 def clean_customers(raw: DataFrame, id_type: str = ID) -> DataFrame:
     """One complete row per customer; with ``id_type`` ``int`` larger ids go."""
-    raw = raw.withColumn("customer_id", F.col("customer_id").try_cast(id_type))
-    parsed = parse_customers(raw.filter("customer_id is not null"))
-    return one_row_per_key(parsed, ["customer_id"]).dropna()
+    return surviving_customers(raw, id_type).dropna()
 
 
 # --- products -------------------------------------------------------------------------------
@@ -110,10 +125,15 @@ def product_rules() -> dict[str, Column]:
     }
 
 
+def surviving_products(raw: DataFrame, id_pattern: str = PRODUCT_ID_PATTERN) -> DataFrame:
+    """One parsed row per well-formed product id; other rows cannot become products."""
+    identified = raw.filter(matches(F.trim("product_id"), id_pattern))
+    return one_row_per_key(parse_products(identified), ["product_id"])
+
+
 def clean_products(raw: DataFrame, id_pattern: str = PRODUCT_ID_PATTERN) -> DataFrame:
     """One valid row per well-formed product id."""
-    identified = raw.filter(matches(F.trim("product_id"), id_pattern))
-    return one_row_per_key(parse_products(identified), ["product_id"]).filter(requirement(product_rules()))
+    return surviving_products(raw, id_pattern).filter(requirement(product_rules()))
 
 
 # --- orders ---------------------------------------------------------------------------------
@@ -181,22 +201,21 @@ def valid_orders(
 
     The total that came with the order only serves as a rule.
     """
+    return with_total(survivors.filter(requirement(order_rules(statuses, id_pattern))))
+
+
+def with_total(accepted: DataFrame) -> DataFrame:
+    """Accepted orders with integer id and recomputed total."""
     total = line_total(F.col("quantity"), F.col("unit_price"), F.col("discount_pct"))
-    kept = [name for name in survivors.columns if name not in ("order_id", "order_number", "total_amount")]
-    return survivors.filter(requirement(order_rules(statuses, id_pattern))).select(
-        F.col("order_number").alias("order_id"), *kept, total.alias("total_amount")
-    )
+    kept = [name for name in accepted.columns if name not in ("order_id", "order_number", "total_amount")]
+    return accepted.select(F.col("order_number").alias("order_id"), *kept, total.alias("total_amount"))
 
 
 def rejected_orders(
     survivors: DataFrame, statuses: tuple[str, ...] | None = None, id_pattern: str = PRODUCT_ID_PATTERN
 ) -> DataFrame:
     """The other orders, with the list of rules each one breaks."""
-    reasons = [
-        F.when(~F.coalesce(rule, F.lit(False)), F.lit(reason)) for reason, rule in order_rules(statuses, id_pattern).items()
-    ]
-    flagged = survivors.withColumn("reasons", F.array_compact(F.array(*reasons))).drop("order_number")
-    return flagged.filter(F.size("reasons") > 0)
+    return with_reasons(survivors, order_rules(statuses, id_pattern)).drop("order_number").filter(F.size("reasons") > 0)
 
 
 def clean_orders(

@@ -57,10 +57,36 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def folder_exists(spark: SparkSession, path: str) -> bool:
-    """Whether there is such a folder, in whatever file system it would be."""
+def _folder(spark: SparkSession, path: str):
+    """A folder and its file system, whatever that is."""
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
+    return folder, folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is such a folder."""
+    folder, system = _folder(spark, path)
+    return system.exists(folder)
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    """Create a folder unless it exists."""
+    folder, system = _folder(spark, path)
+    system.mkdirs(folder)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder and all in it."""
+    folder, system = _folder(spark, path)
+    system.delete(folder, True)
+
+
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """Paths of the folders in a folder; none if that doesn't exist."""
+    folder, system = _folder(spark, path)
+    if not system.exists(folder):
+        return []
+    return [entry.getPath().toString() for entry in system.listStatus(folder) if entry.isDirectory()]
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:

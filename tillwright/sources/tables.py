@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-SESSION_CATALOG = "spark_catalog"
+from tillwright.sources.versions import Staging, found_columns, show
 
 
 def ensure_namespace(spark: SparkSession, name: str, location: str | None = None) -> None:
@@ -20,19 +20,15 @@ def use_namespace(spark: SparkSession, name: str) -> None:
     spark.sql(f"USE {name}")
 
 
-def save_table(df: DataFrame, name: str, provider: str = "parquet") -> DataFrame:
+def save_table(df: DataFrame, name: str, provider: str = "parquet", partition_by: Sequence[str] = ()) -> DataFrame:
     """Create the table or replace all of it, and return it as stored.
 
-    A catalog of its own (``catalog.namespace.table``) replaces the table atomically; the session
-    catalog cannot, there the overwrite drops and recreates it.
+    The rows are written beside the old ones, which earlier readers keep, and shown by one switch
+    (see :mod:`tillwright.sources.versions`); a catalog of its own replaces the table itself.
     """
-    spark = df.sparkSession
-    parts = name.split(".")
-    if len(parts) > 2 and parts[0] != SESSION_CATALOG:
-        df.writeTo(name).using(provider).createOrReplace()
-    else:
-        df.write.format(provider).mode("overwrite").saveAsTable(name)
-    return spark.table(name)
+    staging = Staging(df.sparkSession, provider)
+    staging.add(df, name, partition_by)
+    return staging.publish()[name]
 
 
 def save_view(spark: SparkSession, name: str, query: str) -> DataFrame:
@@ -45,13 +41,12 @@ def mount(spark: SparkSession, alias: str, path: str, provider: str = "parquet")
     """Make files written elsewhere readable as table ``alias``, instead of what it showed before.
 
     Nothing is copied, and dropping a mounted table leaves its files. A table that owns its files is
-    not replaced.
+    not replaced. The files are read before anything is changed, so a bad path leaves the alias as it was.
     """
-    if spark.catalog.tableExists(alias):
-        if spark.catalog.getTable(alias).tableType != "EXTERNAL":
-            raise ValueError(f"{alias} is a table of its own and cannot be mounted over")
-        spark.sql(f"DROP TABLE {alias}")
-    spark.sql(f"CREATE TABLE {alias} USING {provider} LOCATION '{path}'")
+    if spark.catalog.tableExists(alias) and spark.catalog.getTable(alias).tableType != "EXTERNAL":
+        raise ValueError(f"{alias} is a table of its own and cannot be mounted over")
+    schema, partition_by = found_columns(spark, alias, path, provider)
+    show(spark, alias, path, schema, provider, partition_by)
     return spark.table(alias)
 
 
