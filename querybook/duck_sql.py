@@ -592,6 +592,23 @@ for view, report in (
     ("customer_performance", "ag8_customer_performance"),
 ):
     ORACLE[f"snk3_{view}"] = ORACLE[report]
+for mart, report in (
+    ("category_summary", "ag1_category_summary"), ("payment_summary", "ag2_payment_summary"), ("executive_kpis", "ag3_executive_kpis"),
+    ("daily_sales", "ag4_daily_sales"), ("category_performance", "ag5_category_performance"), ("product_performance", "ag6_product_performance"),
+    ("payment_performance", "ag7_payment_performance"), ("customer_performance", "ag8_customer_performance"),
+):
+    ORACLE[f"ext1_mart_{mart}"] = ORACLE[report]
+ORACLE["ext1_orders_by_upserts"] = ORACLE["cln_orders"]
+# keys that an earlier run gave, and further ones behind the greatest
+ORACLE["dim1_stable_customer_keys"] = (
+    "SELECT coalesce(k.customer_key, (SELECT max(customer_key) FROM part_customer) + count(*) FILTER (k.customer_key IS NULL) "
+    "OVER (ORDER BY c.customer_id)) AS customer_key, c.* FROM all_customers c LEFT JOIN part_customer k ON c.customer_id = k.customer_id"
+)
+STEPS["first_product_keys"] = "SELECT product_id, product_key FROM dim_product WHERE stock_quantity < 300"
+ORACLE["dim2_stable_product_keys"] = (
+    "SELECT coalesce(k.product_key, (SELECT max(product_key) FROM first_product_keys) + count(*) FILTER (k.product_key IS NULL) "
+    "OVER (ORDER BY p.product_id)) AS product_key, p.* FROM known_products p LEFT JOIN first_product_keys k ON p.product_id = k.product_id"
+)
 ORACLE["snk1_switched_table"] = (
     "SELECT product_id, 'first' AS version, price FROM all_products UNION ALL "
     "SELECT product_id, 'second', cast(price * 2 as decimal(10,2)) FROM known_products"

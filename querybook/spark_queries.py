@@ -10,13 +10,14 @@ from querybook import standins as si
 from tillwright.functions import dates, measures, numbers, text
 from tillwright.operators.checks import duplicate_keys, report, row_counts
 from tillwright.operators.dedup import one_row_per_key
+from tillwright.operators.keys import stable_key
 from tillwright.operators.ranking import ranked, top
 from tillwright.operators.references import orphan_keys, with_attributes, with_surrogate
-from tillwright.plans import build, curation, dashboard, reports, sales, star, validation, views
+from tillwright.plans import build, curation, dashboard, marts, reports, sales, star, validation, views
 from tillwright.session import scratch_path
 from tillwright.sources import files, tables
 from tillwright.sources.versions import Staging
-from tillwright.streaming import increments
+from tillwright.streaming import increments, upserts
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -793,3 +794,82 @@ def cln23_counts_of_one_pass(spark: SparkSession, sf_dir: str) -> DataFrame:
     entities = _entities(spark, sf_dir, _fresh_namespace(spark, "entities"), seen)
     read = {name: one.get["rows"] for name, one in seen.items()}
     return build.build_funnel(build.layer_counts(spark, read, entities, {}, {}))
+
+
+@query
+def ext1_orders_by_upserts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw orders arriving in three batches, merged bucket by bucket; copies of an id come in different batches."""
+    into = upserts.order_upserts(spark, scratch_path(spark, "upserts"), bucket=upserts.hashed(8))
+    for batch in (0, 1, 2):
+        lines = si.table(spark, sf_dir, "lineitem").filter(F.col("l_linenumber") % 3 == batch)
+        into.merge(spark, batch, curation.surviving_orders(si.raw_orders(spark, sf_dir, lines)))
+    return upserts.upserted_orders(spark, into)
+
+
+@query
+def dim1_stable_customer_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys of all customers, a second run finding more of them than the first."""
+    first = _part_customer(spark, sf_dir).select("customer_id", "customer_key")
+    return stable_key(si.customers(spark, sf_dir), "customer_id", "customer_key", first)[0]
+
+
+@query
+def dim2_stable_product_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys of the products that are still known, a first run having had others as well."""
+    first = _dim_product(spark, sf_dir).filter("stock_quantity < 300").select("product_id", "product_key")
+    return stable_key(_known_products(spark, sf_dir), "product_id", "product_key", first)[0]
+
+
+# Order days up to these end the first and the second increment of the mart queries; the third brings months of the second again.
+_FIRST, _SECOND = "1994-06-30", "1996-06-30"
+
+
+def _marts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Partial rows after three increments, the last of which replaces months of the second that had come without half of their sales."""
+    kept = marts.marts(spark, scratch_path(spark, "marts"), "yyyy-MM")
+    sold = _sales(spark, sf_dir)
+    kept.update(spark, 0, sold.filter(F.col("order_date") <= _FIRST))
+    second = sold.filter((F.col("order_date") > _FIRST) & (F.col("order_date") <= _SECOND))
+    kept.update(spark, 1, second.filter((F.month("order_date") != 2) | (F.col("quantity") > 25)))
+    kept.update(spark, 2, sold.filter((F.col("order_date") > _SECOND) | ((F.col("order_date") > _FIRST) & (F.month("order_date") == 2))))
+    return kept.rows(spark)
+
+
+@query
+def ext1_mart_category_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return marts.category_summary(_marts(spark, sf_dir))
+
+
+@query
+def ext1_mart_payment_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return marts.payment_summary(_marts(spark, sf_dir))
+
+
+@query
+def ext1_mart_executive_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return marts.executive_kpis(_marts(spark, sf_dir))
+
+
+@query
+def ext1_mart_daily_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return marts.daily_sales(_marts(spark, sf_dir), _dim_date(spark, sf_dir))
+
+
+@query
+def ext1_mart_category_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return marts.category_performance(_marts(spark, sf_dir))
+
+
+@query
+def ext1_mart_product_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return marts.product_performance(_marts(spark, sf_dir), si.products(spark, sf_dir))
+
+
+@query
+def ext1_mart_payment_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return marts.payment_performance(_marts(spark, sf_dir))
+
+
+@query
+def ext1_mart_customer_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return marts.customer_performance(_marts(spark, sf_dir), si.customers(spark, sf_dir))

@@ -37,3 +37,21 @@ def rows_before(numbered: DataFrame) -> DataFrame:
     counts = numbered.groupBy("_slice").agg(F.count("*").alias("_rows"))
     earlier = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     return counts.select("_slice", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
+
+
+def stable_key(df: DataFrame, by: str, name: str, known: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Put column ``name`` in front, keys of earlier runs staying as they are; also returns all keys given so far.
+
+    ``known`` has ``by`` and ``name`` for every value that ever had a key, also those ``df`` no longer has: a key is never
+    used again. Values without one are numbered in their order behind the greatest key, so the first run gives 1..n. NULL is
+    one value. Only new values are range-partitioned and numbered.
+    """
+    given = known.select(F.col(by).alias("_by"), F.col(name).alias("_key"))
+    same = F.col(by).eqNullSafe(F.col("_by"))
+    new = dense_key(df.join(given, same, "left_anti").select(by).distinct(), by, name)
+    # one number; an empty table has no greatest key
+    greatest = known.agg(F.coalesce(F.max(name), F.lit(0)).cast("bigint").alias("greatest")).first()["greatest"]
+    every = known.select(by, F.col(name).cast("bigint").alias(name)).union(new.select(by, (F.col(name) + greatest).alias(name)))
+    every = stored(every, f"stable-{name}")
+    keys = every.select(F.col(by).alias("_by"), F.col(name).alias("_key"))
+    return df.join(keys, same).select(F.col("_key").alias(name), *df.columns), every

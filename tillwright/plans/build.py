@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 from tillwright.functions.numbers import ID
 from tillwright.functions.text import PRODUCT_ID_PATTERN
 from tillwright.operators.checks import enforce, report, row_counts
+from tillwright.operators.keys import stable_key
 from tillwright.plans import curation, reports, sales, star, validation, views
 from tillwright.sources.tables import ensure_namespace
 from tillwright.sources.versions import Staging
@@ -83,12 +84,26 @@ def build_curated(
     return layer
 
 
-def stage_gold(staging: Staging, curated: Layer, namespace: str) -> Layer:
-    """Dimensions and fact from the curated tables."""
+def stage_keys(staging: Staging, members: DataFrame, by: str, key: str, name: str) -> DataFrame:
+    """Members with keys that outlive rebuilds; the table ``name`` keeps all that were ever given."""
+    spark = staging.spark
+    nothing = members.select(by, F.lit(0).cast("bigint").alias(key)).limit(0)
+    keyed, every = stable_key(members, by, key, spark.table(name) if spark.catalog.tableExists(name) else nothing)
+    staging.add(every, name)
+    return keyed
+
+
+def stage_gold(staging: Staging, curated: Layer, namespace: str, stable_keys: bool = False) -> Layer:
+    """Dimensions and fact from the curated tables; with ``stable_keys`` earlier runs' surrogate keys are kept."""
     sold = curated["sales_curated"]
+    if stable_keys:
+        who = stage_keys(staging, curated["customers"], "customer_id", "customer_key", f"{namespace}.customer_keys")
+        what = stage_keys(staging, curated["products"], "product_id", "product_key", f"{namespace}.product_keys")
+    else:
+        who, what = star.customer_dimension(curated["customers"]), star.product_dimension(curated["products"])
     dimensions = {
-        "dim_customer": star.customer_dimension(curated["customers"]),
-        "dim_product": star.product_dimension(curated["products"]),
+        "dim_customer": who,
+        "dim_product": what,
         "dim_date": star.date_dimension(sold),
         "dim_payment": star.payment_dimension(sold),
         "dim_order_status": star.status_dimension(sold),
@@ -165,11 +180,13 @@ def build(
     curated: str = "curated",
     gold: str = "gold",
     provider: str = "parquet",
+    stable_keys: bool = False,
     **order_options,
 ) -> tuple[Layer, Layer]:
     """Run everything on raw frames and show the result; raises when a check fails, and then nothing has changed.
 
-    ``order_options`` are those of :func:`curation.clean_orders`. Besides the returned layers, ``curated`` gets accepted and rejected
+    ``order_options`` are those of :func:`curation.clean_orders`. Surrogate keys are 1..n in id order, or with ``stable_keys`` those
+    of earlier runs and further ones behind them. Besides the returned layers, ``curated`` gets accepted and rejected
     rows of the three entities and ``build_counts``, and ``gold`` the six views. The counts of raw rows are those of one
     pass; a stage that had to be run again after losing an executor may count its rows twice there.
     """
@@ -185,7 +202,7 @@ def build(
         staging, entities["accepted_customers"].drop("reasons"), entities["accepted_products"].drop("reasons"),
         curation.with_total(entities["accepted_orders"].drop("reasons")), curated,
     )
-    gold_layer = stage_gold(staging, curated_layer, gold)
+    gold_layer = stage_gold(staging, curated_layer, gold, stable_keys)
     enforce(quality_report(curated_layer, gold_layer))
     read = {name: one.get["rows"] for name, one in seen.items()}
     staging.add(layer_counts(spark, read, entities, curated_layer, gold_layer), f"{curated}.build_counts")

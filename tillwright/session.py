@@ -89,6 +89,39 @@ def subfolders(spark: SparkSession, path: str) -> list[str]:
     return [entry.getPath().toString() for entry in system.listStatus(folder) if entry.isDirectory()]
 
 
+def files_in(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files in a folder; none if that doesn't exist."""
+    folder, system = _folder(spark, path)
+    if not system.exists(folder):
+        return []
+    return [entry.getPath().getName() for entry in system.listStatus(folder) if entry.isFile()]
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """The text of a small file."""
+    file, system = _folder(spark, path)
+    stream = system.open(file)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def commit_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file so that it is there as a whole or not at all; False if it was there already."""
+    file, system = _folder(spark, path)
+    hidden, _ = _folder(spark, f"{path}.{uuid.uuid4().hex}.tmp")
+    stream = system.create(hidden, False)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    if system.exists(file) or not system.rename(hidden, file):
+        system.delete(hidden, False)
+        return False
+    return True
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 

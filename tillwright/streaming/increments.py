@@ -38,17 +38,17 @@ def start_increments(
     return writer.trigger(**(trigger or {"availableNow": True})).start()
 
 
-def _survivor_schema(spark: SparkSession, id_type: str) -> StructType:
-    """Columns and types of the stored micro-batches, known also before the first one."""
+def survivor_schema(spark: SparkSession, id_type: str) -> StructType:
+    """Columns and types of the stored survivors, known also before the first batch."""
     nothing = spark.createDataFrame([], schemas.ORDERS_RAW)
     return surviving_orders(nothing, None, id_type).schema
 
 
 def merged_survivors(spark: SparkSession, folder: str, id_type: str = ID) -> DataFrame:
     """One row per order id over all stored micro-batches; no rows before the first batch."""
-    stored = spark.read.schema(_survivor_schema(spark, id_type)).option("recursiveFileLookup", "true")
+    stored = spark.read.schema(survivor_schema(spark, id_type)).option("recursiveFileLookup", "true")
     if not folder_exists(spark, folder):
-        return spark.createDataFrame([], _survivor_schema(spark, id_type))
+        return spark.createDataFrame([], survivor_schema(spark, id_type))
     return one_row_per_key(stored.parquet(folder), ["order_id"])
 
 
