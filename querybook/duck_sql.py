@@ -502,6 +502,8 @@ ORACLE["dq_full_report"] = checks(
     *surrogates("part"),
     *empty("fact_sales", "part_fact", "customer_key", "product_key", "date_key"),
     unknown("fact_sales", "part_fact", "product_key", "part_product"),
+    unknown("fact_sales", "part_fact", "customer_key", "part_customer"),
+    unknown("fact_sales", "part_fact", "date_key", "dim_date"),
     check(
         "revenue differs", "fact_sales",
         "SELECT cast((SELECT sum(total_amount) FROM sales) IS DISTINCT FROM (SELECT sum(total_amount) FROM part_fact) as bigint)",

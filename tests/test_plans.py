@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from querybook.spark_queries import QUERIES
 from tillwright import session
-from tillwright.operators.checks import BadRows, SameTotal, report
+from tillwright.operators.checks import BadRows, KnownKey, SameTotal, UniqueKey, report
 from tillwright.operators.dedup import one_row_per_key
 from tillwright.operators.keys import dense_key
 from tillwright.plans import curation, reports, sales, star
@@ -84,6 +84,14 @@ def test_dense_key_keeps_rows_out_of_one_task(sold):
     assert text.count("Exchange SinglePartition") == 1
 
 
+def test_key_checks_share_one_scan_per_table(sold):
+    tables = {name: sold[name] for name in ("orders", "customers", "products")}
+    checks = [UniqueKey(f"{key} repeats", name, key) for name, key in (("orders", "order_id"), ("customers", "customer_id"), ("products", "product_id"))]
+    checks += [KnownKey("customer unknown", "orders", "customer_id", "customers"), KnownKey("product unknown", "orders", "product_id", "products")]
+    plan = report(tables, checks)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 3 and "Join" not in plan
+
+
 def test_row_checks_share_one_scan_per_table(sold):
     tables = {"orders": sold["orders"], "again": sold["orders"]}
     checks = [BadRows(f"{name} is null", "orders", F.col(name).isNull()) for name in ("order_id", "customer_id", "product_id")]

@@ -9,8 +9,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tillwright.operators.references import orphan_keys
-
 Tables = Mapping[str, DataFrame]
 
 # Totals are compared as numbers of this type.
@@ -85,10 +83,12 @@ def side_by_side(left: DataFrame, right: DataFrame, total: Column, left_name: st
 def report(tables: Tables, checks: Iterable[Check]) -> DataFrame:
     """``(check_name, table_name, failed_rows, passed)`` for every check, lazily.
 
-    All that :class:`BadRows` and :class:`SameTotal` need of a table is aggregated in one scan of it.
+    All that :class:`BadRows` and :class:`SameTotal` need of a table is aggregated in one scan of it, and all that
+    :class:`UniqueKey` and :class:`KnownKey` need in one more, of its keys (see :func:`key_profile`).
     A check is identified by its name and table.
     """
     needed: dict[str, list[tuple[Check, str, Column]]] = defaultdict(list)
+    keyed: list[UniqueKey | KnownKey] = []
     parts = []
     for check in checks:
         match check:
@@ -97,8 +97,12 @@ def report(tables: Tables, checks: Iterable[Check]) -> DataFrame:
             case SameTotal():
                 needed[check.table].append((check, "here", check.total))
                 needed[check.other].append((check, "there", check.total))
+            case UniqueKey() | KnownKey():
+                keyed.append(check)
             case _:
-                parts.append(_failed_keys(tables, check))
+                raise TypeError(f"not a check: {check!r}")
+    if keyed:
+        parts.append(_failed_keys(tables, keyed))
     if needed:
         parts.append(_failed_measures(_stacked(_measured(tables[name], listed) for name, listed in needed.items())))
     return _stacked(parts).withColumn("passed", F.col("failed_rows") == 0)
@@ -133,18 +137,46 @@ def _failed_measures(measured: DataFrame) -> DataFrame:
     return measured.groupBy("check_name", "table_name").agg(F.coalesce(bad.cast("bigint"), differs).alias("failed_rows"))
 
 
-def _failed_keys(tables: Tables, check: Check) -> DataFrame:
-    df = tables[check.table]
-    match check:
-        case UniqueKey():
-            failed = duplicate_keys(df, check.key)
-        case KnownKey():
-            failed = orphan_keys(df, tables[check.parent], check.key)
-        case _:
-            raise TypeError(f"not a check: {check!r}")
-    return failed.agg(F.count("*").alias("failed_rows")).select(
-        F.lit(check.name).alias("check_name"), F.lit(check.table).alias("table_name"), "failed_rows"
+def key_profile(tables: Tables, keys: Iterable[tuple[str, str]]) -> DataFrame:
+    """``domain, key`` (as text) with one column per table: on how many of its rows the key stands.
+
+    ``keys`` are pairs of table and column; columns of one name are one domain. Every table is read once, whatever the number of
+    its keys, and tasks count theirs before the shuffle, so a hot key is one row per task.
+    """
+    columns: dict[str, list[str]] = defaultdict(list)
+    for table, column in keys:
+        if column not in columns[table]:
+            columns[table].append(column)
+    rows = _stacked(
+        tables[table].select(
+            F.lit(table).alias("_side"),
+            F.inline(F.array(*(F.struct(F.lit(name).alias("domain"), F.col(name).cast("string").alias("key")) for name in names))),
+        )
+        for table, names in columns.items()
     )
+    return rows.groupBy("domain", "key").agg(*(F.count_if(F.col("_side") == table).alias(table) for table in columns))
+
+
+def _failed_keys(tables: Tables, checks: list[UniqueKey | KnownKey]) -> DataFrame:
+    """``check_name, table_name, failed_rows`` of all key checks, from one profile."""
+    used = [(check.table, check.key) for check in checks]
+    used += [(check.parent, check.key) for check in checks if isinstance(check, KnownKey)]
+
+    def failed(check: UniqueKey | KnownKey) -> Column:
+        here = F.col(f"`{check.table}`")
+        match check:
+            case UniqueKey():
+                wrong = here > 1
+            case KnownKey():
+                wrong = (here > 0) & (F.col("key").isNull() | (F.col(f"`{check.parent}`") == 0))
+        return F.count_if((F.col("domain") == check.key) & wrong)
+
+    counts = key_profile(tables, used).agg(*(failed(check).alias(f"n{place}") for place, check in enumerate(checks)))
+    rows = [
+        F.struct(F.lit(check.name).alias("check_name"), F.lit(check.table).alias("table_name"), F.col(f"n{place}").alias("failed_rows"))
+        for place, check in enumerate(checks)
+    ]
+    return counts.select(F.inline(F.array(*rows)))
 
 
 def _stacked(parts: Iterable[DataFrame]) -> DataFrame:

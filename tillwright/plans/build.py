@@ -153,7 +153,11 @@ def layer_counts(spark: SparkSession, read: Mapping[str, int], entities: Layer,
 
     Counting a stored table reads the footers of its files only.
     """
-    raw = spark.createDataFrame([("raw", name, rows) for name, rows in read.items()], "layer string, table_name string, row_count bigint")
+    told = [
+        F.struct(F.lit("raw").alias("layer"), F.lit(name).alias("table_name"), F.lit(rows).cast("bigint").alias("row_count"))
+        for name, rows in read.items()
+    ]
+    raw = spark.range(1).select(F.inline(F.array(*told)))
     stored = (("entities", entities), ("curated", curated), ("gold", gold))
     for name, tables in stored:
         if tables:

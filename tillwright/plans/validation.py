@@ -34,6 +34,8 @@ def gold_checks() -> list[Check]:
         UniqueKey("date_key repeats", "dim_date", "date_key"),
         *_missing("fact_sales", "customer_key", "product_key", "date_key"),
         KnownKey("product_key unknown", "fact_sales", "product_key", "dim_product"),
+        KnownKey("customer_key unknown", "fact_sales", "customer_key", "dim_customer"),
+        KnownKey("date_key unknown", "fact_sales", "date_key", "dim_date"),
         SameTotal("revenue differs", "fact_sales", "sales_curated", money_sum(F.col("total_amount"))),
         SameTotal("row count differs", "fact_sales", "sales_curated", F.count("*")),
     ]
