@@ -22,6 +22,7 @@ import hashlib
 import json
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -111,7 +112,7 @@ class Aligner:
     def aligned(self, texts: list[str]) -> Alignments:
         """The groups of many texts at once, byte offsets running on from text to text."""
         a_ids, b_ids, places = self._encoded(texts)
-        a, b = (np.fromiter((n for ids in side for n in ids), np.int64, sum(map(len, side))) for side in (a_ids, b_ids))
+        a, b = (np.fromiter(chain.from_iterable(side), np.int64, sum(map(len, side))) for side in (a_ids, b_ids))
         a_doc, b_doc = (np.repeat(places, list(map(len, side))) for side in (a_ids, b_ids))
         a_ends, b_ends = np.cumsum(self.a_sizes[a]), np.cumsum(self.b_sizes[b])
         ended = np.zeros((2, int(a_ends[-1]) + 1 if len(a) else 1), bool)
