@@ -212,7 +212,7 @@ def write(docs: DataFrame, path: str, folder: str, id_col: str = "doc_id", text_
                 yield rows[["id", "n"]].assign(bits=bits, checkpoints=checkpoints)
 
     def segment(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        bucket, start, seq = None, 0, 0
+        bucket, start, seq, held = None, 0, 0, 0
         keys, sizes, payload, checkpoints = [], [], bytearray(), []
 
         def made() -> pd.DataFrame:
@@ -224,14 +224,15 @@ def write(docs: DataFrame, path: str, folder: str, id_col: str = "doc_id", text_
 
         for frame in frames:
             for row in frame.itertuples(index=False):
-                if keys and (row.bucket != bucket or sum(sizes) + row.n > SEGMENT_IDS):
+                if keys and (row.bucket != bucket or held + row.n > SEGMENT_IDS):
                     yield made()
-                    start, seq = start + sum(sizes), seq + 1
+                    start, seq, held = start + held, seq + 1, 0
                     keys, sizes, payload, checkpoints = [], [], bytearray(), []
                 if row.bucket != bucket:
                     bucket, start, seq = row.bucket, 0, 0
                 keys.append(row.id)
                 sizes.append(row.n)
+                held += row.n
                 checkpoints.append(np.asarray(row.checkpoints, np.int64) + 8 * len(payload))
                 payload += row.bits
         if keys:
