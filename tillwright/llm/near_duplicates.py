@@ -4,11 +4,13 @@ Each permutation of the shingle hashes gives two signature values, its minimum a
 half as many hash evaluations fill a signature. Bands of the signature put texts into buckets. In
 a bucket a few texts, its hubs, are compared with the others; texts that a round has connected are
 not compared again, and the hubs of a bucket become more until all its texts are connected or have
-been compared. So a bucket of copies costs as many comparisons as it has texts, and no pair that
-shares a bucket is lost. Every link is confirmed on the full sets of both texts.
+been compared. So a bucket of copies costs as many comparisons as it has texts. Every link is confirmed
+on the full sets of both texts.
 
-With ``ROWS`` and ``BANDS`` a pair of texts at the threshold misses all buckets with a probability
-below one in a hundred thousand (a few shingles) or a million (many).
+A pair at the threshold of 0.8 shares no bucket with a probability of (1 - 0.8 ** ROWS) ** BANDS, below one in
+six thousand. One bit of every signature value goes with the members of the buckets: a pair is
+compared only if its bits agree as often as those of pairs ``DEVIATIONS`` standard deviations below the
+threshold do, which costs less than one link in a million and spares nearly all texts that are merely alike.
 
 Null and wordless texts have no shingles and are linked with nothing. Rows with a null key have
 no component and are not kept. Equal sets form one class before anything is compared, so repeated rows and
@@ -27,12 +29,16 @@ from pyspark.sql import functions as F
 
 from tillwright.llm.components import components
 from tillwright.llm.rows import keyed, small_batches
-from tillwright.llm.shingles import chained, shingle_set
+from tillwright.llm.shingles import chained, mixed, shingle_set
 from tillwright.session import stored
 
-ROWS, BANDS = 5, 36
+ROWS, BANDS = 8, 48
+#: How far below its expectation the agreement of two texts' bits may be, in standard deviations of it.
+DEVIATIONS = 5
 #: Shingles that are permuted together, so that the numbers stay in the processor's cache.
 FLAT = 131_072
+#: Numbers that hold the bits of one text.
+WORDS_OF_BITS = -(-ROWS * BANDS // 64)
 _RANDOM = np.random.default_rng(20_260_101)
 _FACTORS = _RANDOM.integers(1, 1 << 63, (ROWS * BANDS + 1) // 2, np.uint64) * np.uint64(2) + np.uint64(1)
 _SHIFTS = _RANDOM.integers(0, 1 << 63, len(_FACTORS), np.uint64)
@@ -50,23 +56,37 @@ def min_max_signatures(sets: list[np.ndarray]) -> np.ndarray:
     return found.T
 
 
-def _band_hashes(sets: list[np.ndarray]) -> np.ndarray:
-    values = min_max_signatures(sets)[:, : ROWS * BANDS].reshape(len(sets), BANDS, ROWS)
-    values = np.concatenate([values, np.broadcast_to(np.arange(BANDS, dtype=np.uint64)[None, :, None], (len(sets), BANDS, 1))], axis=2)
+def _signature_bits(values: np.ndarray) -> np.ndarray:
+    """One well-mixed bit of every value, 64 to a number."""
+    bits = np.packbits((mixed(values) & np.uint64(1)).astype(np.uint8), axis=1)
+    return np.ascontiguousarray(np.pad(bits, ((0, 0), (0, -bits.shape[1] % 8)))).view(np.int64)
+
+
+def _fewest_agreeing(percent: int) -> int:
+    """Bits in which two texts at the threshold agree at least, but for a chance that ``DEVIATIONS`` names."""
+    expected, size = (1 + percent / 100) / 2, ROWS * BANDS
+    return int(size * expected - DEVIATIONS * (size * expected * (1 - expected)) ** 0.5)
+
+
+def _band_hashes(values: np.ndarray) -> np.ndarray:
+    values = values.reshape(-1, BANDS, ROWS)
+    values = np.concatenate([values, np.broadcast_to(np.arange(BANDS, dtype=np.uint64)[None, :, None], (len(values), BANDS, 1))], axis=2)
     return chained(np.moveaxis(values, 2, 0)).view(np.int64)
 
 
 def _sketches(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
-    """Per row: key, number of shingles, digest of the set and its band hashes."""
+    """Per row: key, number of shingles, digest of the set, its band hashes and signature bits."""
 
     def sketched(ids: list, sets: list[np.ndarray]) -> pd.DataFrame:
         full = [found for found in sets if len(found)]
-        bands = iter(_band_hashes(full)) if full else iter(())
+        values = min_max_signatures(full)[:, : ROWS * BANDS] if full else np.zeros((0, ROWS * BANDS), np.uint64)
+        bands, bits = iter(_band_hashes(values)), iter(_signature_bits(values))
         return pd.DataFrame({
             "id": ids,
             "n": list(map(len, sets)),
             "digest": [hashlib.md5(found.tobytes()).digest() if len(found) else None for found in sets],
             "bands": [next(bands) if len(found) else None for found in sets],
+            "bits": [next(bits) if len(found) else None for found in sets],
         })
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -82,7 +102,7 @@ def _sketches(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFr
             if ids:
                 yield sketched(ids, sets)
 
-    return keyed(docs, id_col, text=text_col).mapInPandas(run, "id string, n bigint, digest binary, bands array<bigint>")
+    return keyed(docs, id_col, text=text_col).mapInPandas(run, "id string, n bigint, digest binary, bands array<bigint>, bits array<bigint>")
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
@@ -125,11 +145,12 @@ def near_duplicates(
     classes = stored(
         sketches.where("digest IS NOT NULL AND id IS NOT NULL")
         .groupBy("digest")
-        .agg(F.min(key).alias("first_id"), F.any_value("n").alias("n"), F.any_value("bands").alias("bands"))
+        .agg(F.min(key).alias("first_id"), F.any_value("n").alias("n"), F.any_value("bands").alias("bands"), F.any_value("bits").alias("bits"))
         .withColumn("node", F.monotonically_increasing_id()),
         "classes",
     )
-    members = classes.select("node", "n", _place(F.col("node")).alias("place"), F.explode("bands").alias("bucket"))
+    bits = [F.col("bits")[n].alias(f"bits_{n}") for n in range(WORDS_OF_BITS)]
+    members = classes.select("node", "n", _place(F.col("node")).alias("place"), *bits, F.explode("bands").alias("bucket"))
     buckets = stored(
         members.groupBy("bucket").agg(F.count("*").alias("size"), F.min("place").alias("least")).where("size > 1"), "buckets"
     )
@@ -155,17 +176,20 @@ def _connected(spark, shared, classes, docs, id_col, text_col, words, percent) -
     texts = stored(_class_texts(docs, nodes, id_col, text_col, words), "class-texts")
     rest = shared.withColumn("component", F.col("node"))
     hubs_wanted = 1
+    bits = [f"bits_{n}" for n in range(WORDS_OF_BITS)]
+    unlike = " + ".join(f"bit_count({name} ^ hub_{name})" for name in bits)
+    most_unlike = ROWS * BANDS - _fewest_agreeing(percent)
     while True:
         # hubs: at first the member with the smallest place, later all up to a share of the bucket
         until = F.col("least") if hubs_wanted == 1 else F.greatest("least", hubs_wanted / F.col("size"))
         rest = stored(rest.withColumn("until", until), "round")
         hubs = stored(
-            rest.where("place <= until").select("bucket", F.col("node").alias("hub"), F.col("n").alias("hub_n"), F.col("place").alias("hub_place"), F.col("component").alias("hub_component")),
+            rest.where("place <= until").select("bucket", F.col("node").alias("hub"), F.col("n").alias("hub_n"), F.col("place").alias("hub_place"), F.col("component").alias("hub_component"), *(F.col(name).alias(f"hub_{name}") for name in bits)),
             "hubs",
         )
         pairs = rest.join(hubs, "bucket").where(
             f"component <> hub_component AND (place > until OR place > hub_place)"
-            f" AND 100 * n >= {percent} * hub_n AND 100 * hub_n >= {percent} * n"
+            f" AND 100 * n >= {percent} * hub_n AND 100 * hub_n >= {percent} * n AND {unlike} <= {most_unlike}"
         )
         pairs = pairs.select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
         with small_batches(spark):
