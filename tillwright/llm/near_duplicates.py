@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillwright.llm.components import components
-from tillwright.llm.rows import keyed, small_batches
+from tillwright.llm.rows import keyed, release_unused, small_batches
 from tillwright.llm.shingles import chained, mixed, shingle_set
 from tillwright.session import stored
 
@@ -90,6 +90,7 @@ def _sketches(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFr
         })
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        release_unused()
         for frame in frames:
             ids, sets, size = [], [], 0
             for key, text in zip(frame["id"], frame["text"], strict=True):
@@ -109,6 +110,7 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) ->
     """The pairs ``a, b`` of nodes whose sets are similar enough, by the full sets of both."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        release_unused()
         known: tuple[int | None, np.ndarray | None] = (None, None)
         for frame in frames:
             linked = []
@@ -141,7 +143,8 @@ def near_duplicates(
     kind = docs.schema[id_col].dataType
     spark = docs.sparkSession
     key = F.col("id").cast(kind)
-    sketches = stored(_sketches(docs, id_col, text_col, words), "sketches")
+    with small_batches(spark):
+        sketches = stored(_sketches(docs, id_col, text_col, words), "sketches")
     classes = stored(
         sketches.where("digest IS NOT NULL AND id IS NOT NULL")
         .groupBy("digest")
@@ -173,7 +176,8 @@ def _connected(spark, shared, classes, docs, id_col, text_col, words, percent) -
         return spark.createDataFrame([], "node bigint, component bigint")
     links = spark.createDataFrame([], "a bigint, b bigint")
     nodes = shared.select("node").distinct().join(classes.select("node", "first_id", "digest"), "node")
-    texts = stored(_class_texts(docs, nodes, id_col, text_col, words), "class-texts")
+    with small_batches(spark):
+        texts = stored(_class_texts(docs, nodes, id_col, text_col, words), "class-texts")
     rest = shared.withColumn("component", F.col("node"))
     hubs_wanted = 1
     bits = [f"bits_{n}" for n in range(WORDS_OF_BITS)]
@@ -212,6 +216,7 @@ def _class_texts(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str,
     """One text of each class: the row that bears its first key and has its digest."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        release_unused()
         for frame in frames:
             same = [
                 hashlib.md5(shingle_set(text, words).tobytes()).digest() == bytes(digest)

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from contextlib import contextmanager
 
+import pyarrow
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,6 +36,15 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def release_unused() -> None:
+    """Give back what earlier tasks of a reused worker have freed, where the C library can."""
+    gc.collect()
+    pyarrow.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 @contextmanager
 def small_batches(spark: SparkSession, rows: int = 1000):
     """Hand long rows to Python in smaller batches while an action inside the block runs."""

@@ -6,7 +6,7 @@ import numpy as np
 import xxhash
 
 #: Distinct words whose hashes one worker keeps. It limits memory only.
-MAX_WORDS = 400_000
+MAX_WORDS = 100_000
 
 
 class _WordHashes(dict):
