@@ -216,3 +216,43 @@ def test_crossover_keeps_every_piece():
         assert (np.bincount(child.bins, lengths) == child.fill).all()
         one = max(one, child, key=packing.Packing.score)
     assert len(packing.evolve(lengths, [one.bins, other.bins], 100, 1).fill) <= min(len(one.fill), len(other.fill))
+
+
+def test_pieces_that_one_call_cannot_take(monkeypatch):
+    monkeypatch.setattr(tokens, "LONG_PIECE", 20)
+    table = tokens.library_table(DEFINITION)
+    texts = ["x" * 50 + " short " + "y" * 30, f"a{tokens.MARK}b", tokens.MARK, "\n" * 60 + "end", "", "plain words"]
+    assert [ids.tolist() for ids in table.encode_each(texts)] == [ids_of(text) for text in texts]
+
+
+def test_least_number_of_sequences():
+    bound = packing.least_sequences
+    assert bound(np.array([], np.int64), 100) == 0
+    assert bound(np.array([51] * 7), 100) == 7
+    assert bound(np.array([60, 60, 60, 50, 50, 50]), 100) == 5
+    assert bound(np.array([50] * 5 + [1]), 100) == 3
+
+
+@pytest.mark.parametrize("kind", ["uniform", "over-half", "thirds"])
+def test_packing_on_levels_is_as_good_as_one_best_fit(spark, monkeypatch, kind):
+    monkeypatch.setattr(packing, "SHARD", 4000)
+    rng = np.random.default_rng(5)
+    lengths = {
+        "uniform": rng.integers(1, 2048, 12_000),
+        "over-half": np.concatenate([rng.integers(1025, 1400, 8000), rng.integers(300, 1000, 3000)]),
+        "thirds": rng.integers(560, 760, 12_000),
+    }[kind]
+    rows = spark.createDataFrame([(n, int(length)) for n, length in enumerate(lengths)], "uid bigint, length int").repartition(3)
+    placed = packing.pack(rows).join(rows, "uid").collect()
+    assert sorted(row["uid"] for row in placed) == list(range(len(lengths)))
+    sequences = {}
+    for row in placed:
+        sequences.setdefault(row["sequence_id"], []).append((row["offset"], row["length"]))
+    for pieces in sequences.values():
+        ends = np.cumsum([0, *(length for _, length in sorted(pieces))])
+        assert [offset for offset, _ in sorted(pieces)] == ends[:-1].tolist() and ends[-1] <= 2048
+    fill: list[int] = []
+    packing.best_fit(np.argsort(-lengths, kind="stable"), np.zeros(len(lengths), np.int64), fill, lengths, 2048)
+    assert packing.least_sequences(lengths, 2048) <= len(sequences) <= len(fill)
+    if kind == "thirds":  # crossover finds what best fit does not
+        assert len(sequences) < len(fill)

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillwright.llm.rows import keyed, rekeyed, small_batches
-from tillwright.llm.tokens import byte_letters, check_kind, special_tokens, stretches, texts_of
+from tillwright.llm.tokens import PATTERN, byte_ranks, check_kind, stretches, texts_of
 from tillwright.session import scratch_path
 
 #: Characters and distinct pairs after which a block of texts is closed.
@@ -40,8 +40,6 @@ BLOCK_CHARS, BLOCK_PAIRS = 4_000_000, 200_000
 EXPANDED = 2_000_000
 #: Texts of this many characters are encoded by the tokenizers library: tiktoken's pattern fails on a million blanks in a row.
 LONG = 200_000
-#: Fixed value: the word pattern of the byte-level pre-tokenizer.
-PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 STORED = (
     "kind string, block string, id string, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups string, "
@@ -51,17 +49,6 @@ _COLUMNS = [part.split()[0] for part in STORED.split(", ")]
 _DIGESTS = "id string, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, n_best bigint, count_sum bigint, groups string"
 
 
-def _byte_ranks(definition: str) -> dict[bytes, int]:
-    """Bytes and id of every ordinary token, in the order in which a byte-level BPE merges them."""
-    model, letters = json.loads(definition)["model"], byte_letters()
-    specials = special_tokens(definition)
-    merged = ["".join(pair.split(" ") if isinstance(pair, str) else pair) for pair in model["merges"]]
-    order = [model["vocab"][token] for token in merged]
-    if order != sorted(order):
-        raise ValueError("ids must follow the order of the merges")
-    return {bytes(map(letters.__getitem__, token)): n for token, n in model["vocab"].items() if token not in specials}
-
-
 class Aligner:
     """Both tokenizers, the bytes of their tokens and the array of ids with the same bytes (-1 without one)."""
 
@@ -70,7 +57,7 @@ class Aligner:
         import tiktoken
         from tokenizers import Tokenizer
 
-        ranks = _byte_ranks(definition)
+        ranks = byte_ranks(definition)
         self.library = Tokenizer.from_str(definition)
         self.library.encode_special_tokens = True
         self.first = tiktoken.Encoding("first", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})

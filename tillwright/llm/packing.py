@@ -1,14 +1,15 @@
 """Best-fit packing of token sequences by a grouping genetic algorithm.
 
 Texts are encoded, ended by an id, and cut into pieces of at most ``capacity`` ids if they are longer; a full piece is a
-sequence of its own. The others are dealt at random into shards of about ``SHARD`` pieces. Of every
+sequence of its own. The others are dealt in the order of their lengths into shards of about ``SHARD`` pieces, each like the whole. Of every
 shard several islands evolve packings of their own: a crossover takes whole well-filled sequences from one
 parent, drops the other's sequences that share a piece with them, and puts displaced pieces where they fit best, largest
 first. After each epoch every island gets the best packing of its neighbour. When the epochs are over,
-sequences of the best packing that are filled to ``FILLED`` stay, and the better half of them in any case; the pieces
-of the others meet in fewer shards on the next level, until one shard is left.
+sequences of the best packing that are filled to ``FILLED`` stay; the pieces of all others are dealt to fewer shards on the next level. The levels end
+with a single shard, or with one that neither fills ``PROGRESS`` of its pieces nor saves as many of its sequences; a level that
+needs more sequences than the one before had for the same pieces is given up for that one's.
 
-A shard whose packing has as few sequences as its ids need at least is not evolved further. Null texts are empty and have the
+A shard whose packing has as few sequences as its pieces need at least is not evolved further. Null texts are empty and have the
 end id only. Null and repeated keys, repeated rows and other columns are of no effect: each row is packed.
 """
 
@@ -29,6 +30,8 @@ from tillwright.session import stored
 CAPACITY = 2048
 #: Pieces of a shard, islands of a shard, packings of an island, epochs, crossovers per epoch, and the filled share that stays.
 SHARD, ISLANDS, POPULATION, EPOCHS, CROSSOVERS, FILLED = 20_000, 2, 4, 2, 12, 0.995
+#: The share of pieces filled, or of sequences saved, for which another level of several shards is worth its passes.
+PROGRESS = 0.02
 
 
 class Packing:
@@ -97,10 +100,25 @@ def crossover(receiver: Packing, giver: Packing, random: np.random.Generator) ->
     return Packing(bins, receiver.lengths, receiver.capacity)
 
 
+def least_sequences(lengths: np.ndarray, capacity: int) -> int:
+    """A lower bound: of pieces beyond half a sequence no two meet, and the room that the largest leave is lost to what exceeds it.
+
+    For every ``small``, pieces over ``capacity - small`` are alone among the pieces that are not below ``small``.
+    """
+    counts = np.bincount(lengths, minlength=capacity + 1)
+    above = np.concatenate([np.cumsum(counts[::-1])[::-1], [0]])  # pieces of at least this length
+    ids = np.concatenate([np.cumsum((counts * np.arange(capacity + 1))[::-1])[::-1], [0]])
+    small = np.arange(capacity // 2 + 1)
+    alone = above[capacity - small + 1]
+    large = above[capacity // 2 + 1] - alone
+    middling = ids[small] - ids[capacity - small + 1]
+    return int((alone + np.maximum(large, -(-middling // capacity))).max()) if len(lengths) else 0
+
+
 def evolve(lengths: np.ndarray, elites: list[np.ndarray], capacity: int, seed: int) -> Packing:
     """One epoch of an island: the elites it was given and new packings, crossed again and again."""
     random = np.random.default_rng(seed)
-    least = -(-int(lengths.sum()) // capacity)
+    least = least_sequences(lengths, capacity)
     population = [Packing(bins, lengths, capacity) for bins in elites]
     while len(population) < POPULATION:
         population.append(first_packing(lengths, capacity, random, 0.02 * len(population)))
@@ -147,32 +165,48 @@ def _best(elites: DataFrame, capacity: int) -> DataFrame:
         offset = part.groupby("bin")["length"].cumsum() - part["length"]
         return pd.DataFrame({
             "uid": part["uid"], "length": part["length"], "shard": part["shard"], "bin": part["bin"],
-            "offset": offset, "filled": packing.fill[part["bin"].to_numpy()] >= min(FILLED * capacity, np.median(packing.fill)),
+            "offset": offset, "filled": packing.fill[part["bin"].to_numpy()] >= FILLED * capacity,
         })
 
     return elites.groupBy("shard").applyInPandas(run, "uid bigint, length int, shard bigint, bin bigint, offset bigint, filled boolean")
 
 
+def _dealt(rest: DataFrame, shards: int) -> DataFrame:
+    """``shard, uid, length``: pieces dealt in the order of their lengths, so that all shards get the like of every length."""
+    if shards == 1:
+        return rest.select(F.lit(0).cast("bigint").alias("shard"), "uid", "length")
+    ordered = rest.repartitionByRange("length", "uid").sortWithinPartitions("length", "uid")
+    place = F.monotonically_increasing_id()  # partition in the upper bits, place in it in the lower 33
+    turn = place.bitwiseAND(F.lit((1 << 33) - 1)) + F.pmod(F.xxhash64(F.shiftright(place, 33)), F.lit(shards))
+    return ordered.select(F.pmod(turn, F.lit(shards).cast("bigint")).alias("shard"), "uid", "length")
+
+
 def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """``uid, sequence_id, offset`` for pieces ``uid`` (distinct) and ``length`` (1 to ``capacity``)."""
     whole = pieces.where(F.col("length") == capacity)
     placed = whole.select("uid", (-F.col("uid") - 1).alias("sequence_id"), F.lit(0).cast("bigint").alias("offset"))
     rest, level = stored(pieces.where(F.col("length") < capacity).select("uid", "length"), "pieces"), 0
-    count = rest.count()
+    count, sequences, before = rest.count(), None, None
     while count:
         shards = max(1, -(-count // SHARD))
-        dealt = rest.select(F.pmod(F.xxhash64("uid", F.lit(level)), F.lit(shards)).alias("shard"), "uid", "length")
+        dealt = _dealt(rest, shards)
         elites = None
         for epoch in range(EPOCHS):
             elites = stored(_epoch(dealt, elites, capacity, epoch), "elites")
         best = stored(_best(elites, capacity), "packed")
-        done = best if shards == 1 else best.where("filled")
-        number = F.shiftleft(F.lit(level).cast("bigint"), 56) + F.shiftleft("shard", 24) + F.col("bin")
-        placed = placed.union(done.select("uid", number.alias("sequence_id"), "offset"))
-        if shards == 1:
+        number = F.shiftleft(F.lit(level).cast("bigint"), 48) + F.shiftleft("shard", 20) + F.col("bin")
+        best = best.withColumn("sequence_id", number)
+        # every sequence has one piece at its beginning
+        begins = F.col("offset") == 0
+        needed, filled, open_pieces = best.agg(F.count_if(begins), F.count_if(begins & F.col("filled")), F.count_if(~F.col("filled"))).first()
+        worse = sequences is not None and needed > sequences
+        last = shards == 1 or worse or (count - open_pieces < PROGRESS * count and sequences is not None and sequences - needed < PROGRESS * needed)
+        done = before if worse else best if last else best.where("filled")
+        placed = placed.union(done.select("uid", "sequence_id", "offset"))
+        if last:
             break
-        rest = best.where("NOT filled").select("uid", "length")
-        count, level = rest.count(), level + 1
+        before = best.where("NOT filled")
+        rest, sequences, count, level = before.select("uid", "length"), needed - filled, open_pieces, level + 1
     return placed
 
 
