@@ -8,9 +8,10 @@ been compared. So a bucket of copies costs as many comparisons as it has texts.
 on the full sets of both texts.
 
 A pair at the threshold of 0.8 shares no bucket with a probability of (1 - 0.8 ** ROWS) ** BANDS, below one in
-six thousand. One bit of every signature value goes with the members of the buckets: a pair is
-compared only if its bits agree as often as those of pairs ``DEVIATIONS`` standard deviations below the
-threshold do, which costs less than one link in a million and spares nearly all texts that are merely alike.
+six thousand. Two bits of every signature value go with the members of the buckets: a pair is
+compared only if as many values agree in them as ``DEVIATIONS`` standard deviations below the expectation at
+the threshold, which costs less than one link in thirty thousand and spares texts that are merely alike from 0.70 down.
+A pair that shares several buckets is a candidate in the first of them only.
 
 Null and wordless texts have no shingles and are linked with nothing. Rows with a null key have
 no component and are not kept. Equal sets form one class before anything is compared, so repeated rows and
@@ -33,12 +34,12 @@ from tillwright.llm.shingles import chained, mixed, shingle_set
 from tillwright.session import stored
 
 ROWS, BANDS = 8, 48
-#: How far below its expectation the agreement of two texts' bits may be, in standard deviations of it.
-DEVIATIONS = 5
+#: How far below its expectation the number of values that agree may be, in standard deviations of it.
+DEVIATIONS = 4
 #: Shingles that are permuted together, so that the numbers stay in the processor's cache.
 FLAT = 131_072
-#: Numbers that hold the bits of one text.
-WORDS_OF_BITS = -(-ROWS * BANDS // 64)
+#: Numbers that hold the bits of one text, two for each value.
+WORDS_OF_BITS = -(-ROWS * BANDS // 32)
 _RANDOM = np.random.default_rng(20_260_101)
 _FACTORS = _RANDOM.integers(1, 1 << 63, (ROWS * BANDS + 1) // 2, np.uint64) * np.uint64(2) + np.uint64(1)
 _SHIFTS = _RANDOM.integers(0, 1 << 63, len(_FACTORS), np.uint64)
@@ -57,21 +58,24 @@ def min_max_signatures(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def _signature_bits(values: np.ndarray) -> np.ndarray:
-    """One well-mixed bit of every value, 64 to a number."""
-    bits = np.packbits((mixed(values) & np.uint64(1)).astype(np.uint8), axis=1)
+    """Two well-mixed bits of every value, those of 32 values to a number."""
+    scrambled = mixed(values)
+    pairs = np.stack([scrambled & np.uint64(1), (scrambled >> np.uint64(1)) & np.uint64(1)], axis=2).astype(np.uint8)
+    bits = np.packbits(pairs.reshape(len(values), 2 * values.shape[1]), axis=1)
     return np.ascontiguousarray(np.pad(bits, ((0, 0), (0, -bits.shape[1] % 8)))).view(np.int64)
 
 
-def _fewest_agreeing(percent: int) -> int:
-    """Bits in which two texts at the threshold agree at least, but for a chance that ``DEVIATIONS`` names."""
-    expected, size = (1 + percent / 100) / 2, ROWS * BANDS
-    return int(size * expected - DEVIATIONS * (size * expected * (1 - expected)) ** 0.5)
+def _most_unlike(percent: int) -> int:
+    """Values in which two texts at the threshold differ at most, but for a chance that ``DEVIATIONS`` names."""
+    expected, size = (1 - percent / 100) * 3 / 4, ROWS * BANDS  # a quarter of unequal values has equal bits
+    return int(size * expected + DEVIATIONS * (size * expected * (1 - expected)) ** 0.5) + 1
 
 
 def _band_hashes(values: np.ndarray) -> np.ndarray:
     values = values.reshape(-1, BANDS, ROWS)
-    values = np.concatenate([values, np.broadcast_to(np.arange(BANDS, dtype=np.uint64)[None, :, None], (len(values), BANDS, 1))], axis=2)
-    return chained(np.moveaxis(values, 2, 0)).view(np.int64)
+    hashes = chained(np.moveaxis(values, 2, 0))
+    # 32 bits and the band's number: unlike texts that meet by chance differ in their signatures
+    return (hashes >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
 def _sketches(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
@@ -103,7 +107,7 @@ def _sketches(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFr
             if ids:
                 yield sketched(ids, sets)
 
-    return keyed(docs, id_col, text=text_col).mapInPandas(run, "id string, n bigint, digest binary, bands array<bigint>, bits array<bigint>")
+    return keyed(docs, id_col, text=text_col).mapInPandas(run, "id string, n bigint, digest binary, bands array<int>, bits array<bigint>")
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
@@ -153,11 +157,14 @@ def near_duplicates(
         "classes",
     )
     bits = [F.col("bits")[n].alias(f"bits_{n}") for n in range(WORDS_OF_BITS)]
-    members = classes.select("node", "n", _place(F.col("node")).alias("place"), *bits, F.explode("bands").alias("bucket"))
+    # the signatures follow when it is known which texts share a bucket
+    members = classes.select("node", F.posexplode("bands").alias("band", "hash")).select(
+        "node", _place(F.col("node")).alias("place"), (F.shiftleft(F.col("band").cast("bigint"), 32) + F.col("hash")).alias("bucket")
+    )
     buckets = stored(
         members.groupBy("bucket").agg(F.count("*").alias("size"), F.min("place").alias("least")).where("size > 1"), "buckets"
     )
-    shared = stored(members.join(buckets, "bucket"), "bucket-members")
+    shared = stored(members.join(buckets, "bucket").join(classes.select("node", "n", "bands", *bits), "node"), "bucket-members")
     found = _connected(spark, shared, classes, docs, id_col, text_col, words, percent)
     placed = classes.select("digest", "node", "first_id").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = placed.groupBy("component").agg(F.min("first_id").alias("component_id"))
@@ -181,24 +188,26 @@ def _connected(spark, shared, classes, docs, id_col, text_col, words, percent) -
     rest = shared.withColumn("component", F.col("node"))
     hubs_wanted = 1
     bits = [f"bits_{n}" for n in range(WORDS_OF_BITS)]
-    unlike = " + ".join(f"bit_count({name} ^ hub_{name})" for name in bits)
-    most_unlike = ROWS * BANDS - _fewest_agreeing(percent)
+    # a value differs where either of its two bits does
+    unlike = " + ".join(f"bit_count((({name} ^ hub_{name}) | shiftright({name} ^ hub_{name}, 1)) & {0x5555_5555_5555_5555}L)" for name in bits)
+    first_shared = "array_position(zip_with(bands, hub_bands, (one, other) -> one = other), true) = shiftright(bucket + 2147483648L, 32) + 1"
     while True:
         # hubs: at first the member with the smallest place, later all up to a share of the bucket
         until = F.col("least") if hubs_wanted == 1 else F.greatest("least", hubs_wanted / F.col("size"))
         rest = stored(rest.withColumn("until", until), "round")
         hubs = stored(
-            rest.where("place <= until").select("bucket", F.col("node").alias("hub"), F.col("n").alias("hub_n"), F.col("place").alias("hub_place"), F.col("component").alias("hub_component"), *(F.col(name).alias(f"hub_{name}") for name in bits)),
+            rest.where("place <= until").select("bucket", F.col("node").alias("hub"), F.col("n").alias("hub_n"), F.col("place").alias("hub_place"), F.col("component").alias("hub_component"), F.col("bands").alias("hub_bands"), *(F.col(name).alias(f"hub_{name}") for name in bits)),
             "hubs",
         )
         pairs = rest.join(hubs, "bucket").where(
             f"component <> hub_component AND (place > until OR place > hub_place)"
-            f" AND 100 * n >= {percent} * hub_n AND 100 * hub_n >= {percent} * n AND {unlike} <= {most_unlike}"
+            f" AND 100 * n >= {percent} * hub_n AND 100 * hub_n >= {percent} * n AND {unlike} <= {_most_unlike(percent)} AND {first_shared}"
         )
-        pairs = pairs.select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
+        pairs = pairs.select(F.col("node").alias("a"), F.col("hub").alias("b"))
         with small_batches(spark):
             links = links.union(stored(_confirmed(pairs, texts, words, percent), "links"))
         found = stored(components(links), "components")
+        links = found.select(F.col("node").alias("a"), F.col("component").alias("b"))  # stars stand for the links so far
         rest = rest.where("place > until").drop("component").join(found, "node", "left")
         rest = rest.withColumn("component", F.coalesce("component", "node")).drop("until")
         rest = stored(rest, "unconnected")
