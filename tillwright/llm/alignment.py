@@ -19,7 +19,6 @@ Repeated rows count each. Empty tables give empty results. Only the two columns
 from __future__ import annotations
 
 import hashlib
-import json
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import chain
