@@ -14,7 +14,7 @@ from tillwright.operators.keys import stable_key
 from tillwright.operators.ranking import ranked, top
 from tillwright.operators.references import orphan_keys, with_attributes, with_surrogate
 from tillwright.plans import build, curation, dashboard, marts, reports, sales, star, validation, views
-from tillwright.session import scratch_path
+from tillwright.session import scratch_path, stored
 from tillwright.sources import files, tables
 from tillwright.sources.versions import Staging
 from tillwright.streaming import increments, upserts
@@ -827,7 +827,8 @@ _FIRST, _SECOND = "1994-06-30", "1996-06-30"
 def _marts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Partial rows after three increments, the last of which replaces months of the second that had come without half of their sales."""
     kept = marts.marts(spark, scratch_path(spark, "marts"), "yyyy-MM")
-    sold = _sales(spark, sf_dir)
+    columns = ["order_id", "order_date", "customer_id", "product_id", "category", "quantity", "total_amount", "profit", "payment_method"]
+    sold = stored(_sales(spark, sf_dir).select(*columns), "sold")
     kept.update(spark, 0, sold.filter(F.col("order_date") <= _FIRST))
     second = sold.filter((F.col("order_date") > _FIRST) & (F.col("order_date") <= _SECOND))
     kept.update(spark, 1, second.filter((F.month("order_date") != 2) | (F.col("quantity") > 25)))

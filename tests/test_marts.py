@@ -1,11 +1,13 @@
 """Reports from partial aggregates against the reports over everything."""
 
+import os
 import random
 import re
 from datetime import date, timedelta
 from decimal import Decimal
 
 from tillwright.plans import marts, reports, sales, star
+from tillwright.session import shared_dir
 
 ROW = (
     "order_id bigint, order_date date, customer_id bigint, product_id string, category string, quantity int, "
@@ -61,6 +63,18 @@ def test_increments_give_what_one_pass_gives(spark, tmp_path):
     assert rows_of(marts.customer_performance(parts, customers)) == rows_of(reports.customer_performance(fact, customers.selectExpr("*", "customer_id as customer_key")))
 
 
+def test_a_sale_is_one_partial_row(spark, tmp_path):
+    """All keys of a sale share a row, beside the sums by day, category and payment method; an increment stores them once."""
+    rows = _sold(5, 200)
+    sold = spark.createDataFrame(rows, ROW)
+    few = len({(row[1], row[4], row[8]) for row in rows})
+    assert marts.partials(sold).count() == len(rows) + few
+    kept = marts.marts(spark, str(tmp_path / "marts"), "yyyy-MM")
+    before = set(os.listdir(shared_dir(spark)))
+    assert kept.update(spark, 0, sold) == ["2024-01", "none"] and kept.rows(spark).count() == len(rows) + few
+    assert set(os.listdir(shared_dir(spark))) == before
+
+
 def test_an_increment_reads_its_days_only(spark, tmp_path):
     """With sales stored by day, the plan of an increment has the other days pruned."""
     spark.createDataFrame(_sold(9, 100), ROW).write.partitionBy("order_date").parquet(str(tmp_path / "sales"))

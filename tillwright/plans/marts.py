@@ -1,10 +1,10 @@
-"""Reports that are kept up to date: partial aggregates per day, of which new days alone are computed.
+"""Reports that are kept up to date: partial rows per day, of which new days alone are computed.
 
-A partial row has the sums of one key and day and says which orders they come from, so that partials merge exactly: sums
-add, orders unite. Order numbers are cut into slices of 32,768. Where a key has many orders (categories, payment methods) a
-slice is a bitmap, 4 KB whatever it holds; where keys are many (products, customers) it is the set of its numbers. Neither grows
-beyond a slice, so a hot key is many small groups. Days, or longer periods, are parts of a folder (see :mod:`tillwright.sources.parts`): an
-increment replaces the parts of its days, and its sales are all that is read.
+Partial rows are of two levels, so that they merge exactly. ``sums`` has the sums of one day, category and payment method, which add;
+the reports that need no more than those read nothing else. ``orders`` has every sale with its order number, the keys of all reports and
+its amounts: distinct orders don't add, and a product or customer has hardly two sales a day, so rows by key and day are as many, once for every key.
+One row a sale for all keys is moved once when it is written, and a report moves its own key and the numbers only. Days, or longer periods, are
+parts of a folder (see :mod:`tillwright.sources.parts`): an increment replaces the parts of its days, and its sales are all that is read.
 
 The reports are those of :mod:`tillwright.plans.reports` and the summaries of :mod:`tillwright.plans.sales`.
 """
@@ -16,16 +16,16 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tillwright.functions.measures import SUMMED_MONEY, margin_pct, per_order
-from tillwright.session import stored
 from tillwright.sources.parts import Parts
 
-# Levels and the column of the sales each one goes by; those of the second line have many keys.
-COARSE = {"category": "category", "payment": "payment_method"}
-FINE = {"product": "product_id", "customer": "customer_id"}
+# Levels of the partial rows, and what a row of each is told apart by.
+SUMS, ORDERS = "sums", "orders"
+COARSE = ("order_date", "category", "payment_method")
+FINE = ("order_id", "customer_id", "product_id")
 
 PERIOD = "period"
 PARTIAL = (
-    "level string, key string, order_date date, slice bigint, bitmap binary, numbers array<bigint>, "
+    "level string, order_date date, category string, payment_method string, order_id bigint, customer_id string, product_id string, "
     f"sales bigint, units bigint, revenue {SUMMED_MONEY}, profit {SUMMED_MONEY}"
 )
 
@@ -40,30 +40,37 @@ def _sums(units: str = "quantity", revenue: str = "total_amount", profit: str =
 
 
 def partials(sold: DataFrame) -> DataFrame:
-    """The partial rows of enriched sales; sales without a day are a day of their own."""
-    number = F.col("order_id")
-    keyed = ["level", "key", "order_date", "slice"]
+    """The partial rows of enriched sales, which are read once for each level; sales without a day are a day of their own."""
+    kinds = {field.name: field.dataType for field in sold.sparkSession.createDataFrame([], PARTIAL).schema}
+    order = sold.select("*", F.lit(1).alias("sales"), F.col("quantity").alias("units"), F.col("total_amount").alias("revenue"))
+    levels = {SUMS: sold.groupBy(*COARSE).agg(*_sums()), ORDERS: order}
 
-    def of(levels: dict[str, str]) -> DataFrame:
-        pairs = F.array(*(F.struct(F.lit(level).alias("level"), F.col(column).cast("string").alias("key")) for level, column in levels.items()))
-        rows = sold.select("order_id", "order_date", "quantity", "total_amount", "profit", F.explode(pairs).alias("of"))
-        return rows.select("of.*", "*").withColumn("slice", F.bitmap_bucket_number(number)).groupBy(*keyed)
+    def rows(level: str, df: DataFrame) -> DataFrame:
+        known = {"level": F.lit(level), **{name: F.lit(None) for name in FINE if level == SUMS}}
+        return df.select(*(known.get(name, F.col(name)).cast(kind).alias(name) for name, kind in kinds.items()))
 
-    bitmap, numbers = F.bitmap_construct_agg(F.bitmap_bit_position(number)), F.sort_array(F.collect_set(number))
-    coarse = of(COARSE).agg(bitmap.alias("bitmap"), F.lit(None).cast("array<bigint>").alias("numbers"), *_sums())
-    fine = of(FINE).agg(F.lit(None).cast("binary").alias("bitmap"), numbers.alias("numbers"), *_sums())
-    return coarse.union(fine)
+    return rows(SUMS, levels[SUMS]).union(rows(ORDERS, levels[ORDERS]))
 
 
-def _merged(parts: DataFrame, level: str, *by: str) -> DataFrame:
-    """Sums and distinct orders of a level by some of its columns."""
-    if level in FINE:
-        together, size = F.array_distinct(F.flatten(F.collect_list("numbers"))), lambda numbers: F.size(numbers)
-    else:
-        together, size = F.bitmap_or_agg("bitmap"), F.bitmap_count
-    sums = lambda: _sums("units", "revenue", "profit", F.col("sales"))
-    slices = parts.filter(F.col("level") == level).groupBy(*by, "slice").agg(together.alias("orders"), *sums())
-    return slices.withColumn("orders", size("orders").cast("bigint")).groupBy(*by).agg(F.sum("orders").alias("total_orders"), *sums())
+def _summed(parts: DataFrame, level: str, *by: str) -> DataFrame:
+    """Sums of the rows of a level by some of its columns."""
+    return parts.filter(F.col("level") == level).groupBy(*by).agg(*_sums("units", "revenue", "profit", F.col("sales")))
+
+
+def _merged(parts: DataFrame, *by: str) -> DataFrame:
+    """Sums and distinct orders by some columns of the partial rows."""
+    rows = parts.filter(F.col("level") == ORDERS)
+    if set(by) & set(FINE):
+        sums = _sums("units", "revenue", "profit", F.col("sales"))
+        return rows.groupBy(*by).agg(F.count_distinct("order_id").alias("total_orders"), *sums)
+    # Sums come from the few rows that have them, so that order numbers alone are brought together.
+    orders = rows.select(*by, "order_id").distinct().groupBy(*by).agg(F.count("order_id").alias("total_orders"))
+    sums = _summed(parts, SUMS, *by)
+    if not by:
+        return sums.crossJoin(orders)
+    named = orders.select(*(F.col(name).alias(f"_{name}") for name in by), "total_orders")
+    same = [F.col(name).eqNullSafe(F.col(f"_{name}")) for name in by]
+    return sums.join(named, same).drop(*(f"_{name}" for name in by))
 
 
 def _shown(units: str = "units_sold", revenue: str = "revenue", profit: str = "profit") -> list[Column]:
@@ -75,7 +82,7 @@ _MARGIN = "profit_margin_pct"
 
 def executive_kpis(parts: DataFrame) -> DataFrame:
     """One row over everything."""
-    totals = _merged(parts, "payment").select(*_shown("total_units_sold", "total_revenue", "total_profit"))
+    totals = _merged(parts).select(*_shown("total_units_sold", "total_revenue", "total_profit"))
     return totals.select(
         "*", margin_pct(F.col("total_profit"), F.col("total_revenue")).alias("overall_profit_margin_pct"),
         per_order(F.col("total_revenue"), F.col("total_orders")).alias("average_order_value"),
@@ -84,7 +91,7 @@ def executive_kpis(parts: DataFrame) -> DataFrame:
 
 def daily_sales(parts: DataFrame, dates: DataFrame) -> DataFrame:
     """Sales per day with the attributes of the date dimension."""
-    days = _merged(parts, "payment", "order_date").select("order_date", *_shown())
+    days = _merged(parts, "order_date").select("order_date", *_shown())
     attributes = ["full_date", "year", "quarter", "month_number", "month_name"]
     return days.join(dates.select(*attributes), F.col("order_date") == F.col("full_date")).drop("order_date").select(
         *attributes, "total_orders", "units_sold", "revenue", "profit"
@@ -94,17 +101,17 @@ def daily_sales(parts: DataFrame, dates: DataFrame) -> DataFrame:
 def category_performance(parts: DataFrame) -> DataFrame:
     """Sales and margin per category."""
     margin = margin_pct(F.col("profit"), F.col("revenue")).alias(_MARGIN)
-    return _merged(parts, "category", "key").select(F.col("key").alias("category"), *_shown(), margin)
+    return _merged(parts, "category").select("category", *_shown(), margin)
 
 
 def payment_performance(parts: DataFrame) -> DataFrame:
     """Sales per payment method."""
-    return _merged(parts, "payment", "key").select(F.col("key").alias("payment_method"), *_shown())
+    return _merged(parts, "payment_method").select("payment_method", *_shown())
 
 
 def product_performance(parts: DataFrame, products: DataFrame) -> DataFrame:
     """Sales and margin per product."""
-    sums = _merged(parts, "product", "key").select(F.col("key").alias("product_id"), *_shown())
+    sums = _merged(parts, "product_id").select("product_id", *_shown())
     attributes = ["product_id", "product_name", "category", "brand"]
     margin = margin_pct(F.col("profit"), F.col("revenue")).alias(_MARGIN)
     return sums.join(products.select(*attributes), "product_id").select(*attributes, "total_orders", "units_sold", "revenue", "profit", margin)
@@ -114,19 +121,19 @@ def customer_performance(parts: DataFrame, customers: DataFrame) -> DataFrame:
     """Purchases per customer."""
     names = ("units_purchased", "total_spent", "total_profit_generated")
     kind = customers.schema["customer_id"].dataType
-    sums = _merged(parts, "customer", "key").select(F.col("key").cast(kind).alias("customer_id"), *_shown(*names))
+    sums = _merged(parts, "customer_id").select(F.col("customer_id").cast(kind), *_shown(*names))
     attributes = ["customer_id", "first_name", "last_name", "country", "state"]
     return sums.join(customers.select(*attributes), "customer_id").select(*attributes, "total_orders", *names)
 
 
 def category_summary(parts: DataFrame) -> DataFrame:
     """Units, revenue and profit per category."""
-    return _merged(parts, "category", "key").select(F.col("key").alias("category"), F.col("units").alias("units_sold"), "revenue", "profit")
+    return _summed(parts, SUMS, "category").select("category", F.col("units").alias("units_sold"), "revenue", "profit")
 
 
 def payment_summary(parts: DataFrame) -> DataFrame:
     """Sales, revenue and profit per payment method."""
-    return _merged(parts, "payment", "key").select(F.col("key").alias("payment_method"), F.col("sales").alias("orders"), "revenue", "profit")
+    return _summed(parts, SUMS, "payment_method").select("payment_method", F.col("sales").alias("orders"), "revenue", "profit")
 
 
 @dataclass(frozen=True)
@@ -138,15 +145,12 @@ class Marts(Parts):
     def update(self, spark: SparkSession, batch: int, sold: DataFrame) -> list[str]:
         """Take in all sales of some periods, instead of what those had; returns the periods. A batch that counts already is skipped.
 
-        ``sold`` must hold every sale of the periods it has, and nothing else is read.
+        ``sold`` must hold every sale of the periods it has, and nothing else is read. It is read twice and should be stored.
         """
         if batch <= self.batch(spark):
             return []
         period = F.coalesce(F.date_format("order_date", self.period), F.lit("none"))
-        rows = stored(partials(sold).withColumn(PERIOD, period), "partials")
-        periods = sorted(row[0] for row in rows.select(PERIOD).distinct().collect())
-        self.replace(spark, batch, rows, PERIOD, periods)
-        return periods
+        return self.replace(spark, batch, partials(sold).withColumn(PERIOD, period), PERIOD)
 
 
 def marts(spark: SparkSession, folder: str, period: str = "yyyy-MM-dd") -> Marts:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Mapping
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
@@ -44,17 +45,23 @@ class Parts:
         """All rows after the last batch."""
         return self.read(spark, list(self.paths(spark).values()))
 
-    def replace(self, spark: SparkSession, batch: int, df: DataFrame, column: str, parts: list) -> None:
-        """Write rows parted by a column that is not stored, then let them stand for the given parts from now on.
+    def replace(self, spark: SparkSession, batch: int, df: DataFrame, column: str, parts: list | None = None, together: bool = False) -> list[str]:
+        """Write rows parted by a column that is not stored, then let them stand for the given parts from now on, or for those they have.
 
-        A part without rows is empty from then on. The rows of a part are brought together for writing; adaptive execution splits large ones.
+        A given part without rows is empty from then on. The rows of a part are brought together for writing, where they are not
+        ``together`` already; adaptive execution splits large ones. Returns the parts.
         """
         place = f"batch-{batch:012d}"
-        df.hint("rebalance", F.col(column)).write.mode("overwrite").partitionBy(column).parquet(f"{self.folder}/{place}")
+        rows = df if together else df.hint("rebalance", F.col(column))
+        rows.write.mode("overwrite").partitionBy(column).parquet(f"{self.folder}/{place}")
+        if parts is None:
+            folders = [path.rsplit("/", 1)[1] for path in subfolders(spark, f"{self.folder}/{place}")]
+            parts = sorted(unquote(name.removeprefix(f"{column}=")) for name in folders if name.startswith(f"{column}="))
         new = {str(part): f"{place}/{column}={part}" for part in parts}
         for path in new.values():
             make_folder(spark, f"{self.folder}/{path}")
         self._commit(spark, batch, new)
+        return list(new)
 
     def _commit(self, spark: SparkSession, batch: int, new: Mapping[str, str]) -> None:
         make_folder(spark, f"{self.folder}/{COMMITS}")
