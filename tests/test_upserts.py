@@ -1,6 +1,7 @@
 """Bucketed upserts and keys that outlive rebuilds."""
 
 import random
+import re
 
 import pytest
 from fixture_files import write_shop
@@ -50,6 +51,14 @@ def test_a_batch_rewrites_only_its_buckets(spark, into):
     assert len(gone) == 1 and gone[0].endswith("/bucket=1") and into.rows(spark).count() == 6
 
 
+def test_a_merge_moves_rows_once(spark, into):
+    rows = spark.createDataFrame([("1", 1, "a"), (None, 1, "a"), ("15", 1, "a")], SCHEMA).withColumn(upserts.BUCKET, into.bucket(F.col("id")))
+    newer = rows.withColumn("a", F.lit(2))
+    merged = into.merged(newer, rows)
+    assert len(re.findall(r"Exchange \w+partitioning", merged._jdf.queryExecution().executedPlan().toString())) == 1
+    assert rows_of(merged.select(*newer.columns)) == rows_of(newer)
+
+
 def test_a_repeated_batch_changes_nothing(spark, into, monkeypatch):
     into.merge(spark, 0, spark.createDataFrame([("1", 1, "a")], SCHEMA))
     before = into.paths(spark)

@@ -55,8 +55,15 @@ class Upserts(Parts):
         touched = sorted(row[0] for row in arrived.select(BUCKET).distinct().collect())
         paths = self.paths(spark)
         old = self.read(spark, [paths[str(n)] for n in touched if str(n) in paths])
-        merged = one_row_per_key(arrived.drop(BUCKET).unionByName(old), [self.key])
-        self.replace(spark, batch, merged.withColumn(BUCKET, self.bucket(F.col(self.key))), BUCKET, touched)
+        self.replace(spark, batch, self.merged(arrived, old.withColumn(BUCKET, self.bucket(F.col(self.key)))), BUCKET, touched, together=True)
+
+    def merged(self, arrived: DataFrame, old: DataFrame) -> DataFrame:
+        """One row per key of both, in the order of the buckets: rows are moved once for the merge and for the files.
+
+        Both sides have a key once, so ranges of bucket and key are even whatever the buckets' sizes.
+        """
+        rows = arrived.unionByName(old).repartitionByRange(F.col(BUCKET), F.col(self.key))
+        return one_row_per_key(rows, [BUCKET, self.key])
 
 
 def order_upserts(spark: SparkSession, folder: str, id_type: str = ID, bucket: Callable[[Column], Column] = hashed(64)) -> Upserts:
