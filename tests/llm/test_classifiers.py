@@ -131,3 +131,16 @@ def test_a_key_counts_once_in_the_sample(spark, tables):
     assert np.allclose(other.weights, 1)
     texts = {frozenset(other.columns[a:b].tolist()) for a, b in zip(other.starts[:-1], other.starts[1:], strict=True)}
     assert frozenset() not in texts
+
+
+def test_the_sample_comes_to_the_driver_as_bytes(spark, monkeypatch):
+    """A list of numbers would be an object for each of them, many times the sample's size."""
+    docs = spark.createDataFrame([(n, "good words here" if n % 2 else "bad words there") for n in range(60)], "doc_id bigint, text string")
+    grades = docs.selectExpr("doc_id", "cast(doc_id % 2 as int) as grade")
+    kind, seen = type(docs), []
+    collect = kind.collect
+    monkeypatch.setattr(kind, "collect", lambda df: seen.append(df.dtypes) or collect(df))
+    sample = hashed_text.labelled_sample(docs, grades, "doc_id", "text", 2)
+    assert len(sample.grades) == 60 and sample.columns.dtype == np.int64 and sample.starts[-1] == len(sample.columns) > 0
+    assert sample.columns.max() < len(sample.hashes)
+    assert len(seen) > 3 and not any(one.startswith("array") for types in seen for _, one in types)

@@ -155,16 +155,17 @@ def labelled_sample(docs: DataFrame, grades: DataFrame, id_col: str, text_col: s
             for one in frame["terms"]:
                 at = np.minimum(np.searchsorted(sorted_hashes, one), max(0, len(sorted_hashes) - 1))
                 found.append(order[at[sorted_hashes[at] == one]] if len(sorted_hashes) else np.zeros(0, np.int64))
-            yield pd.DataFrame({"grade": frame["grade"], "columns": found})
+            yield pd.DataFrame({"grade": frame["grade"], "columns": found, "packed": [one.astype("<u4").tobytes() for one in found]})
 
-    # sorted, so that the fit does not depend on the order in which tasks end
-    rows = sampled.mapInPandas(known, "grade int, columns array<bigint>").orderBy("grade", "columns").collect()
-    columns = [np.asarray(row["columns"], np.int64) for row in rows]
+    # sorted, so that the fit does not depend on the order in which tasks end; as bytes, since a list has an object for each number
+    known_terms = sampled.mapInPandas(known, "grade int, columns array<bigint>, packed binary").orderBy("grade", "columns")
+    rows = known_terms.select("grade", "packed").collect()
+    columns = [np.frombuffer(row["packed"], "<u4") for row in rows]
     found = np.array([row["grade"] for row in rows], np.int64)
     weight = {grade: totals.get(grade, 0) / size for grade, size in sizes.items()}
     weights = np.array([weight[grade] for grade in found.tolist()]) / (sum(totals.get(g, 0) for g in sizes) / total if total else 1)
     return Sample(
-        hashes.view(np.uint64), np.concatenate([np.zeros(0, np.int64), *columns]),
+        hashes.view(np.uint64), np.concatenate([np.zeros(0, "<u4"), *columns]).astype(np.int64),
         np.cumsum([0, *map(len, columns)]), found, weights,
     )
 
