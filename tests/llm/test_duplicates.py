@@ -89,6 +89,40 @@ def test_no_near_duplicates(spark):
     assert sorted(map(tuple, near_duplicates.near_duplicates(frame).collect())) == [(1, 0, 1, True), (2, 0, 2, True), (3, 1, 3, True)]
 
 
+def test_texts_merely_alike_are_not_compared(spark, monkeypatch):
+    """A group whose texts are alike at 0.76, below the threshold: their pairs don't reach the full sets."""
+    rng, counts, confirmed = random.Random(8), [], near_duplicates._confirmed
+    base = [f"word{n}" for n in range(150)]
+    texts = []
+    for n in range(60):
+        text = list(base)
+        place = rng.randrange(5, 70)
+        text[place], text[place + 70] = f"own{n}", f"other{n}"
+        texts.append(" ".join(text))
+
+    def counted(pairs, *rest):
+        counts.append(pairs.count())
+        return confirmed(pairs, *rest)
+
+    monkeypatch.setattr(near_duplicates, "_confirmed", counted)
+    sets = [{tuple(text.split()[n : n + 5]) for n in range(146)} for text in texts]
+    links = [(a, b) for a in range(60) for b in range(a) if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    expected = answers(range(60), merged(60, links), [True] * 60)
+    found = near_duplicates.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"))
+    assert [row["component_id"] for row in found.orderBy("doc_id").collect()] == expected
+    assert 0 < len(links) < 400 and sum(counts) < 2 * len(links) + 60
+
+
+def test_bitmaps_differ_in_no_more_bits_than_sets(spark):
+    rng = np.random.default_rng(3)
+    for size in (1, 9, 40, 300, 3000):
+        common = rng.integers(0, 1 << 63, 8 * size, np.uint64)
+        one, other = (np.concatenate([common, rng.integers(0, 1 << 63, size, np.uint64)]) for _ in range(2))  # likeness of exactly 0.8
+        bits = int(np.bitwise_count((near_duplicates._bitmap(one) ^ near_duplicates._bitmap(other)).view(np.uint64)).sum())
+        limit = spark.range(1).selectExpr(near_duplicates._most_flipped(80, str(len(one)), str(len(other)))).first()[0]
+        assert bits <= 2 * size and bits <= limit <= 2 * size
+
+
 def test_signatures_are_unbiased():
     rng = np.random.default_rng(9)
     common, rest = rng.integers(0, 1 << 63, 80, np.uint64), rng.integers(0, 1 << 63, 400, np.uint64)

@@ -11,6 +11,9 @@ A pair at the threshold of 0.8 shares no bucket with a probability of (1 - 0.8 *
 six thousand. Two bits of every signature value go with the members of the buckets: a pair is
 compared only if as many values agree in them as ``DEVIATIONS`` standard deviations below the expectation at
 the threshold, which costs less than one link in thirty thousand and spares texts that are merely alike from 0.70 down.
+A bitmap in which every shingle of a text flips one bit goes with them too: the bits in which two bitmaps differ are at
+most the shingles that only one of the texts has. Up to some 1,000 shingles pairs are left out by that limit, which loses
+none (and reaches almost down to the threshold up to some 300), for longer texts by the same ``DEVIATIONS``.
 A pair that shares several buckets is a candidate in the first of them only.
 
 Null and wordless texts have no shingles and are linked with nothing. Rows with a null key have
@@ -40,6 +43,8 @@ DEVIATIONS = 4
 FLAT = 131_072
 #: Numbers that hold the bits of one text, two for each value.
 WORDS_OF_BITS = -(-ROWS * BANDS // 32)
+#: Numbers that hold the bitmap of one text.
+WORDS_OF_MAP = 16
 _RANDOM = np.random.default_rng(20_260_101)
 _FACTORS = _RANDOM.integers(1, 1 << 63, (ROWS * BANDS + 1) // 2, np.uint64) * np.uint64(2) + np.uint64(1)
 _SHIFTS = _RANDOM.integers(0, 1 << 63, len(_FACTORS), np.uint64)
@@ -71,6 +76,26 @@ def _most_unlike(percent: int) -> int:
     return int(size * expected + DEVIATIONS * (size * expected * (1 - expected)) ** 0.5) + 1
 
 
+def _bitmap(found: np.ndarray) -> np.ndarray:
+    """Bits that an odd number of the shingles falls on; two bitmaps differ in no more bits than their sets in shingles."""
+    size = 64 * WORDS_OF_MAP
+    counts = np.bincount((mixed(found) % np.uint64(size)).astype(np.int64), minlength=size)
+    return np.packbits((counts & 1).astype(np.uint8)).view(np.int64)
+
+
+def _most_flipped(percent: int, one: str, other: str) -> str:
+    """SQL: in how many bits the bitmaps of two linked texts differ at most, from the sizes of their sets.
+
+    Linked sets differ in no more than a share of their summed sizes. That many shingles are the limit, or if it is lower, ``DEVIATIONS``
+    standard deviations over the expected number of bits they leave odd (the deviation of independent bits, which is an upper bound).
+    """
+    size = 64 * WORDS_OF_MAP
+    differing = f"floor({100 - percent} * ({one} + {other}) / {100 + percent}D)"
+    odd = f"{size / 2}D * (1 - exp(-{2 / size}D * {differing}))"
+    deviation = f"sqrt({size / 4}D * (1 - exp(-{4 / size}D * {differing})))"
+    return f"least({differing}, {odd} + {DEVIATIONS} * {deviation} + 1)"
+
+
 def _band_hashes(values: np.ndarray) -> np.ndarray:
     values = values.reshape(-1, BANDS, ROWS)
     hashes = chained(np.moveaxis(values, 2, 0))
@@ -79,7 +104,7 @@ def _band_hashes(values: np.ndarray) -> np.ndarray:
 
 
 def _sketches(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
-    """Per row: key, number of shingles, digest of the set, its band hashes and signature bits."""
+    """Per row: key, number of shingles, digest of the set, its band hashes, signature bits and bitmap."""
 
     def sketched(ids: list, sets: list[np.ndarray]) -> pd.DataFrame:
         full = [found for found in sets if len(found)]
@@ -90,7 +115,7 @@ def _sketches(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFr
             "n": list(map(len, sets)),
             "digest": [hashlib.md5(found.tobytes()).digest() if len(found) else None for found in sets],
             "bands": [next(bands) if len(found) else None for found in sets],
-            "bits": [next(bits) if len(found) else None for found in sets],
+            "bits": [np.concatenate([next(bits), _bitmap(found)]) if len(found) else None for found in sets],
         })
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -156,7 +181,7 @@ def near_duplicates(
         .withColumn("node", F.monotonically_increasing_id()),
         "classes",
     )
-    bits = [F.col("bits")[n].alias(f"bits_{n}") for n in range(WORDS_OF_BITS)]
+    bits = [F.col("bits")[n].alias(f"bits_{n}") for n in range(WORDS_OF_BITS + WORDS_OF_MAP)]
     # the signatures follow when it is known which texts share a bucket
     members = classes.select("node", F.posexplode("bands").alias("band", "hash")).select(
         "node", _place(F.col("node")).alias("place"), (F.shiftleft(F.col("band").cast("bigint"), 32) + F.col("hash")).alias("bucket")
@@ -187,21 +212,24 @@ def _connected(spark, shared, classes, docs, id_col, text_col, words, percent) -
         texts = stored(_class_texts(docs, nodes, id_col, text_col, words), "class-texts")
     rest = shared.withColumn("component", F.col("node"))
     hubs_wanted = 1
-    bits = [f"bits_{n}" for n in range(WORDS_OF_BITS)]
+    names = [f"bits_{n}" for n in range(WORDS_OF_BITS + WORDS_OF_MAP)]
+    bits, maps = names[:WORDS_OF_BITS], names[WORDS_OF_BITS:]
     # a value differs where either of its two bits does
     unlike = " + ".join(f"bit_count((({name} ^ hub_{name}) | shiftright({name} ^ hub_{name}, 1)) & {0x5555_5555_5555_5555}L)" for name in bits)
+    flipped = " + ".join(f"bit_count({name} ^ hub_{name})" for name in maps)
     first_shared = "array_position(zip_with(bands, hub_bands, (one, other) -> one = other), true) = shiftright(bucket + 2147483648L, 32) + 1"
     while True:
         # hubs: at first the member with the smallest place, later all up to a share of the bucket
         until = F.col("least") if hubs_wanted == 1 else F.greatest("least", hubs_wanted / F.col("size"))
         rest = stored(rest.withColumn("until", until), "round")
         hubs = stored(
-            rest.where("place <= until").select("bucket", F.col("node").alias("hub"), F.col("n").alias("hub_n"), F.col("place").alias("hub_place"), F.col("component").alias("hub_component"), F.col("bands").alias("hub_bands"), *(F.col(name).alias(f"hub_{name}") for name in bits)),
+            rest.where("place <= until").select("bucket", F.col("node").alias("hub"), F.col("n").alias("hub_n"), F.col("place").alias("hub_place"), F.col("component").alias("hub_component"), F.col("bands").alias("hub_bands"), *(F.col(name).alias(f"hub_{name}") for name in names)),
             "hubs",
         )
         pairs = rest.join(hubs, "bucket").where(
             f"component <> hub_component AND (place > until OR place > hub_place)"
-            f" AND 100 * n >= {percent} * hub_n AND 100 * hub_n >= {percent} * n AND {unlike} <= {_most_unlike(percent)} AND {first_shared}"
+            f" AND 100 * n >= {percent} * hub_n AND 100 * hub_n >= {percent} * n AND {unlike} <= {_most_unlike(percent)}"
+            f" AND {flipped} <= {_most_flipped(percent, 'n', 'hub_n')} AND {first_shared}"
         )
         pairs = pairs.select(F.col("node").alias("a"), F.col("hub").alias("b"))
         with small_batches(spark):
