@@ -1,5 +1,7 @@
 """Tables replaced by a switch: readers, failing checks, failing publications, other columns, old versions."""
 
+import re
+
 import pytest
 from fixture_files import write_shop
 from pyspark.sql import functions as F
@@ -129,6 +131,16 @@ def test_views_of_the_catalog_are_the_frames(spark, shop):
         assert session.table("seen_gold.vw_executive_kpis").first()["total_orders"] == orders - 1
 
 
+def test_stored_tables_and_views_move_little(spark, shop):
+    """Stored tables are compressed by zstd; by product and day, orders are told apart as pairs with the key, without sums beside them."""
+    _, gold = build.build(spark, *shop, "small_curated", "small_gold")
+    assert all(file.endswith(".zstd.parquet") for file in gold["fact_sales"].inputFiles())
+    for view, key in (("vw_product_performance", "product_key"), ("vw_daily_sales", "date_key")):
+        plan = spark.table(f"small_gold.{view}")._jdf.queryExecution().executedPlan().toString()
+        pairs = re.findall(rf"HashAggregate\(keys=\[{key}#\d+L?, order_id#\d+L?\], functions=\[(.*?)\]", plan)
+        assert pairs and not any(pairs)
+
+
 def test_accepted_and_rejected_rows_and_their_counts(spark, shop):
     build.build(spark, *shop, "split_curated", "split_gold")
     survivors = {"customers": curation.surviving_customers(shop[0]), "products": curation.surviving_products(shop[1]), "orders": curation.surviving_orders(shop[2])}

@@ -24,6 +24,8 @@ from tillwright.session import make_folder, remove_folder, scratch_path, subfold
 SESSION_CATALOG = "spark_catalog"
 FOLDER = "table-versions"
 INCOMING = "__incoming"
+#: Stored tables are written once and read often: a third less to write than with the default codec.
+COMPRESSION = {"parquet": {"compression": "zstd"}}
 
 
 def own_catalog(name: str) -> bool:
@@ -166,7 +168,7 @@ class Staging:
         """Write the next version of a table and return it as stored."""
         provider = "parquet" if own_catalog(name) else self.provider
         path = new_path(self.spark, name)
-        df.write.format(provider).partitionBy(*partition_by).save(path)
+        df.write.format(provider).options(**COMPRESSION.get(provider, {})).partitionBy(*partition_by).save(path)
         last = [df.schema[column] for column in partition_by]
         schema = StructType([field for field in df.schema if field.name not in partition_by] + last)
         self.tables[name] = _Table(path, schema, provider, tuple(partition_by))
@@ -180,7 +182,7 @@ class Staging:
         first = next(iter(names.values()))
         provider = "parquet" if own_catalog(first) else self.provider
         path = new_path(self.spark, first)
-        df.write.format(provider).partitionBy(column).save(path)
+        df.write.format(provider).options(**COMPRESSION.get(provider, {})).partitionBy(column).save(path)
         schema = StructType([field for field in df.schema if field.name != column])
         frames = []
         for value, name in names.items():
