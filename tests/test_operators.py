@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import Window, functions as F
 
 from tillwright.operators.checks import (
-    BadRows, KnownKey, SameTotal, UniqueKey, duplicate_keys, enforce, report, row_counts, side_by_side,
+    BadRows, KnownKey, SameTotal, UniqueKey, duplicate_keys, enforce, key_profile, report, row_counts, side_by_side,
 )
 from tillwright.operators.dedup import one_row_per_key
 from tillwright.operators.keys import dense_key, rows_before
@@ -161,6 +161,25 @@ def test_report_finds_each_violation(family):
     enforce(outcome.filter("passed"))
 
 
+def test_key_profile_counts_tables_of_one_domain_only(spark):
+    """Rows of the profile have as many counts as one domain has tables, whatever the number of tables."""
+    tables = {
+        "a": spark.createDataFrame([(1, "x"), (1, "y"), (None, "x")], "id int, code string"),
+        "b": spark.createDataFrame([(1,), (2,)], "id bigint"),
+        "c": spark.createDataFrame([("x",), (None,)], "code string"),
+        "d": spark.createDataFrame([(7,), (7,)], "other int"),
+    }
+    found = key_profile(tables, [("a", "id"), ("b", "id"), ("a", "code"), ("c", "code"), ("d", "other"), ("a", "id")])
+    assert found.columns == ["domain", "key", "a", "b", "c", "d"]
+    assert sorted(map(tuple, found.collect()), key=str) == sorted([
+        ("id", "1", 2, 1, 0, 0), ("id", None, 1, 0, 0, 0), ("id", "2", 0, 1, 0, 0),
+        ("code", "x", 2, 0, 1, 0), ("code", "y", 1, 0, 0, 0), ("code", None, 0, 0, 1, 0), ("other", "7", 0, 0, 0, 2),
+    ], key=str)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    grouped = next(line for line in plan.splitlines() if "Aggregate [" in line)
+    assert grouped.count("count(") == 2
+
+
 def test_counts_and_totals(family):
     child, parent = family
     assert {tuple(row) for row in row_counts({"c": child, "p": parent}).collect()} == {("c", 6), ("p", 3)}

@@ -144,17 +144,35 @@ def key_profile(tables: Tables, keys: Iterable[tuple[str, str]]) -> DataFrame:
     its keys, and tasks count theirs before the shuffle, so a hot key is one row per task.
     """
     columns: dict[str, list[str]] = defaultdict(list)
+    domains: dict[str, list[str]] = defaultdict(list)
     for table, column in keys:
         if column not in columns[table]:
             columns[table].append(column)
+            domains[column].append(table)
+    numbers = {name: number for number, name in enumerate(domains)}
+    # a key is grouped with a number for its domain and one count for each table of that domain, not of all: such rows fill the tasks
     rows = _stacked(
         tables[table].select(
-            F.lit(table).alias("_side"),
-            F.inline(F.array(*(F.struct(F.lit(name).alias("domain"), F.col(name).cast("string").alias("key")) for name in names))),
+            F.inline(F.array(*(
+                F.struct(
+                    F.lit(numbers[name]).alias("_domain"), F.col(name).cast("string").alias("key"), F.lit(domains[name].index(table)).alias("_side")
+                )
+                for name in names
+            ))),
         )
         for table, names in columns.items()
     )
-    return rows.groupBy("domain", "key").agg(*(F.count_if(F.col("_side") == table).alias(table) for table in columns))
+    sides = range(max(map(len, domains.values())))
+    counts = rows.groupBy("_domain", "key").agg(*(F.count_if(F.col("_side") == side).alias(f"_count{side}") for side in sides))
+
+    def count_of(table: str) -> Column:
+        found = F.lit(0).cast("bigint")
+        for name in columns[table]:
+            found = F.when(F.col("_domain") == numbers[name], F.col(f"_count{domains[name].index(table)}")).otherwise(found)
+        return found.alias(table)
+
+    domain = F.element_at(F.array(*map(F.lit, domains)), F.col("_domain") + 1).alias("domain")
+    return counts.select(domain, "key", *map(count_of, columns))
 
 
 def _failed_keys(tables: Tables, checks: list[UniqueKey | KnownKey]) -> DataFrame:
