@@ -3,9 +3,10 @@
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 
-from tillwright.llm import hashed_text, quality, toxicity
+from tillwright.llm import hashed_text, quality, tokens, toxicity
 
 RNG = random.Random(3)
 WORDS = ["".join(RNG.choices("abcdefgh", k=6)) for _ in range(60)]
@@ -144,3 +145,15 @@ def test_the_sample_comes_to_the_driver_as_bytes(spark, monkeypatch):
     assert len(sample.grades) == 60 and sample.columns.dtype == np.int64 and sample.starts[-1] == len(sample.columns) > 0
     assert sample.columns.max() < len(sample.hashes)
     assert len(seen) > 3 and not any(one.startswith("array") for types in seen for _, one in types)
+
+
+def test_scores_drop_the_table_of_a_tokenizer(spark, monkeypatch):
+    """A reused worker that has packed holds a table of pieces, which a classifier has no use for."""
+    made, real = [], hashed_text.F.pandas_udf
+    monkeypatch.setattr(hashed_text.F, "pandas_udf", lambda run, schema: made.append(run) or real(run, schema))
+    docs = spark.createDataFrame([(1, "one two")], "doc_id bigint, text string")
+    hashed_text.score_column(docs, "text", np.zeros(0, np.uint64), lambda texts: {"score": [0.0] * len(texts)}, "score double")
+    tokens.table_of("a file", "test", lambda definition: tokens.PieceTable(None, {}))
+    assert tokens._tables
+    assert list(next(made[0](iter([pd.Series(["one two"])])))["score"]) == [0.0]
+    assert not tokens._tables

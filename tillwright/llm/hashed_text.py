@@ -19,6 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillwright.llm.rows import release_unused, small_batches
 from tillwright.session import stored
 
 #: Bounds of a sample and of a model: labelled texts per grade, and terms.
@@ -120,6 +121,7 @@ def labelled_sample(docs: DataFrame, grades: DataFrame, id_col: str, text_col: s
         chosen = chosen.union(part)
 
     def terms(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        release_unused()
         for frame in frames:
             found = [
                 np.unique(np.array([one for word in set(words) for one in word_terms(word)] + text_terms(text, words), np.uint64)).view(np.int64)
@@ -129,7 +131,8 @@ def labelled_sample(docs: DataFrame, grades: DataFrame, id_col: str, text_col: s
 
     rows = docs.select(key, docs[f"`{text_col}`"].alias("text")).join(F.broadcast(chosen), "id")
     texts = rows.groupBy("id", "grade").agg(F.max("text").alias("text"))
-    sampled = stored(texts.mapInPandas(terms, "grade int, terms array<bigint>"), "sample")
+    with small_batches(docs.sparkSession):
+        sampled = stored(texts.mapInPandas(terms, "grade int, terms array<bigint>"), "sample")
     sizes = {row["grade"]: row["n"] for row in sampled.groupBy("grade").agg(F.count("*").alias("n")).collect()}
     total = sum(sizes.values())
     counts = sampled.select("grade", F.explode("terms").alias("term")).groupBy("term").agg(
@@ -178,6 +181,7 @@ def score_column(docs: DataFrame, text_col: str, hashes: np.ndarray, score: Call
     shared = docs.sparkSession.sparkContext.broadcast(hashes)
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        release_unused()
         terms = Terms(shared.value)
         for batch in batches:
             parts = [score([terms.of(text) for text in batch.iloc[begin : begin + 500]]) for begin in range(0, len(batch), 500)]

@@ -19,6 +19,8 @@ import regex
 from pyspark import Broadcast
 from pyspark.sql import SparkSession
 
+from tillwright.llm.rows import kept_by_worker
+
 #: Entries and ids that one worker keeps. At either bound the rarer half goes and is encoded anew when met again,
 #: so this limits memory only.
 MAX_PIECES, MAX_IDS = 500_000, 8_000_000
@@ -259,11 +261,11 @@ def share_definition(spark: SparkSession, path: str) -> Broadcast:
     return spark.sparkContext.broadcast(definition)
 
 
-_tables: dict[tuple[str, int], PieceTable] = {}
+_tables: dict[tuple[str, int], PieceTable] = kept_by_worker({})
 
 
 def table_of(definition: str, kind: str, build: Callable[[str], PieceTable]) -> PieceTable:
-    """One table per worker process, tokenizer and way of encoding; it outlives a task."""
+    """One table per worker process, tokenizer and way of encoding; it outlives a task, but not one of an operator that needs none."""
     key = kind, hash(definition)
     if key not in _tables:
         _tables.clear()
