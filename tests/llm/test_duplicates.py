@@ -54,6 +54,51 @@ def test_components(spark):
     assert components.components(spark.createDataFrame([], "a bigint, b bigint")).collect() == []
 
 
+def test_components_of_few_links_take_no_rounds(spark, monkeypatch):
+    """A long path, whose rounds of stars would each be several shuffles: one task links it alone."""
+    labels, stored = [], components.stored
+    monkeypatch.setattr(components, "stored", lambda df, label: labels.append(label) or stored(df, label))
+    found = components.components(spark.createDataFrame([(a, a + 1) for a in range(300)], "a bigint, b bigint").repartition(8))
+    assert {tuple(row) for row in found.collect()} == {(n, 0) for n in range(301)}
+    assert "stars" not in labels
+
+
+def test_components_over_several_tasks(spark, monkeypatch):
+    labels, stored = [], components.stored
+    monkeypatch.setattr(components, "stored", lambda df, label: labels.append(label) or stored(df, label))
+    monkeypatch.setattr(components, "EDGES", 20)
+    rng = random.Random(4)
+    links = [(rng.randrange(120), rng.randrange(120)) for _ in range(90)] + [(200, n) for n in range(201, 260)]
+    roots = answers(range(260), merged(260, links), [True] * 260)
+    found = components.components(spark.createDataFrame(links, "a bigint, b bigint").repartition(8))
+    nodes = {n for a, b in links if a != b for n in (a, b)}
+    assert sorted(map(tuple, found.collect())) == sorted((n, roots[n]) for n in nodes)
+    assert "stars" in labels
+
+
+def test_links_are_confirmed_in_tasks_of_many_texts(spark, monkeypatch):
+    """211 shuffle partitions and a few texts: the tasks that run Python follow the texts."""
+    tasks, stored = [], near_duplicates.stored
+
+    def counted(df, label):
+        if label == "links":
+            tasks.append(df.rdd.getNumPartitions())
+        return stored(df, label)
+
+    monkeypatch.setattr(near_duplicates, "stored", counted)
+    base = passage(100)
+    frame = spark.createDataFrame([(n, edited(base, 1)) for n in range(30)], "doc_id bigint, text string")
+    with_partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "11")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert near_duplicates.near_duplicates(frame).select("component_id").distinct().count() < 30
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", with_partitions)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert tasks and max(tasks) == 1
+
+
 def near_rows():
     rows = [(n, passage(RNG.choice([0, 1, 2, 3, 4, 5, 8, 20, 60, 200]))) for n in range(60)]
     base, shared = passage(150), passage(60)

@@ -2,11 +2,49 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillwright.session import stored
 
+#: Edges for each task once tasks have contracted theirs; nodes whose links one task holds at once.
+EDGES, NODES = 100_000, 500_000
+
+
+def _contracted(edges: DataFrame) -> DataFrame:
+    """Edges that connect the same nodes: each task links every node of its own edges to the smallest one it reaches by them."""
+
+    def stars(parents: dict[int, int]) -> pd.DataFrame:
+        roots = [_root(parents, node) for node in parents]
+        return pd.DataFrame({"u": list(parents), "v": roots}, dtype="int64")
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        parents: dict[int, int] = {}
+        for frame in frames:
+            for u, v in zip(frame["u"].tolist(), frame["v"].tolist(), strict=True):
+                one, other = _root(parents, u), _root(parents, v)
+                if one != other:
+                    parents[max(one, other)] = min(one, other)
+            if len(parents) >= NODES:
+                yield stars(parents)
+                parents = {}
+        yield stars(parents)
+
+    return edges.mapInPandas(run, "u bigint, v bigint")
+
+
+def _root(parents: dict[int, int], node: int) -> int:
+    """The smallest node that ``node`` is linked to; nodes on the way are linked further up."""
+    while (above := parents.get(node)) is not None:
+        higher = parents.get(above)
+        if higher is not None:
+            parents[node] = higher
+        node = above
+    return node
+
 
 def _with_smallest(edges: DataFrame, down: DataFrame) -> DataFrame:
     """The edges ``down`` with ``m``, the smallest neighbour that ``edges`` has for their ``u``.
@@ -41,13 +79,15 @@ def _are_stars(edges: DataFrame) -> bool:
 def components(edges: DataFrame) -> DataFrame:
     """``node, component`` for every node of the links ``a, b``: the smallest node that can be reached.
 
-    Alternating stars (large, then small) until every component is one star; each round is written to the
+    Tasks contract their edges, first as they come, then ``EDGES`` to a task; what one task has contracted alone is stars. Several
+    alternate stars (large, then small) until every component is one star; each round is written to the
     shared folder, which cuts the lineage. Links to oneself, nulls and repeats don't matter.
     """
-    now = stored(
-        edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges"
-    )
-    while not _are_stars(now):
-        now = stored(_small_star(stored(_large_star(now), "large-star")), "stars")
+    links = edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
+    first = stored(_contracted(links), "edges")
+    tasks = max(1, -(-first.count() // EDGES))
+    now = stored(_contracted(first.coalesce(tasks)), "contracted")
+    while tasks > 1 and not _are_stars(now):
+        now = stored(_small_star(stored(_large_star(now).coalesce(tasks), "large-star")).coalesce(tasks), "stars")
     roots = now.select(F.col("v").alias("node")).distinct().withColumn("component", F.col("node"))
-    return now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots)
+    return now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots.coalesce(tasks))

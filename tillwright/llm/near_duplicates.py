@@ -39,6 +39,10 @@ from tillwright.session import stored
 ROWS, BANDS = 8, 48
 #: How far below its expectation the number of values that agree may be, in standard deviations of it.
 DEVIATIONS = 4
+#: How many times as many hubs a bucket gets in the next round.
+MORE_HUBS = 64
+#: Texts that share a bucket for each task that confirms links, at least.
+TEXTS = 100
 #: Shingles that are permuted together, so that the numbers stay in the processor's cache.
 FLAT = 131_072
 #: Numbers that hold the bits of one text, two for each value.
@@ -135,8 +139,8 @@ def _sketches(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFr
     return keyed(docs, id_col, text=text_col).mapInPandas(run, "id string, n bigint, digest binary, bands array<int>, bits array<bigint>")
 
 
-def _confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs ``a, b`` of nodes whose sets are similar enough, by the full sets of both."""
+def _confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int, tasks: int) -> DataFrame:
+    """The pairs ``a, b`` of nodes whose sets are similar enough, by the full sets of both, in ``tasks`` tasks at most."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         release_unused()
@@ -153,7 +157,8 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) ->
 
     first = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
     second = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
-    return pairs.join(first, "a").join(second, "b").select("a", "b", "text_a", "text_b").mapInPandas(run, "a bigint, b bigint")
+    rows = pairs.join(first, "a").join(second, "b").select("a", "b", "text_a", "text_b")
+    return rows.coalesce(tasks).mapInPandas(run, "a bigint, b bigint")
 
 
 def _place(node: Column) -> Column:
@@ -210,6 +215,7 @@ def _connected(spark, shared, classes, docs, id_col, text_col, words, percent) -
     nodes = shared.select("node").distinct().join(classes.select("node", "first_id", "digest"), "node")
     with small_batches(spark):
         texts = stored(_class_texts(docs, nodes, id_col, text_col, words), "class-texts")
+    tasks = max(1, -(-texts.count() // TEXTS))
     rest = shared.withColumn("component", F.col("node"))
     hubs_wanted = 1
     names = [f"bits_{n}" for n in range(WORDS_OF_BITS + WORDS_OF_MAP)]
@@ -221,7 +227,7 @@ def _connected(spark, shared, classes, docs, id_col, text_col, words, percent) -
     while True:
         # hubs: at first the member with the smallest place, later all up to a share of the bucket
         until = F.col("least") if hubs_wanted == 1 else F.greatest("least", hubs_wanted / F.col("size"))
-        rest = stored(rest.withColumn("until", until), "round")
+        rest = rest.withColumn("until", until)
         hubs = stored(
             rest.where("place <= until").select("bucket", F.col("node").alias("hub"), F.col("n").alias("hub_n"), F.col("place").alias("hub_place"), F.col("component").alias("hub_component"), F.col("bands").alias("hub_bands"), *(F.col(name).alias(f"hub_{name}") for name in names)),
             "hubs",
@@ -233,7 +239,7 @@ def _connected(spark, shared, classes, docs, id_col, text_col, words, percent) -
         )
         pairs = pairs.select(F.col("node").alias("a"), F.col("hub").alias("b"))
         with small_batches(spark):
-            links = links.union(stored(_confirmed(pairs, texts, words, percent), "links"))
+            links = links.union(stored(_confirmed(pairs, texts, words, percent, tasks), "links"))
         found = stored(components(links), "components")
         links = found.select(F.col("node").alias("a"), F.col("component").alias("b"))  # stars stand for the links so far
         rest = rest.where("place > until").drop("component").join(found, "node", "left")
@@ -245,8 +251,8 @@ def _connected(spark, shared, classes, docs, id_col, text_col, words, percent) -
         )
         if open_buckets.isEmpty():
             return found
-        rest = rest.join(open_buckets, "bucket")
-        hubs_wanted *= 16
+        rest = stored(rest.join(open_buckets, "bucket"), "round")
+        hubs_wanted *= MORE_HUBS
 
 
 def _class_texts(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
