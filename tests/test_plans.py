@@ -14,7 +14,7 @@ from tillwright.operators.checks import BadRows, KnownKey, SameTotal, UniqueKey,
 from tillwright.operators.dedup import one_row_per_key
 from tillwright.operators.keys import dense_key
 from tillwright.plans import curation, reports, sales, star
-from tillwright.session import shared_dir, stored
+from tillwright.session import read_alike, shared_dir, stored
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -26,6 +26,11 @@ def plan(df, mode="formatted"):
     return text.getvalue()
 
 
+def made(df):
+    """What ran, after an action; an exchange that was read again is named there, without the plan below it."""
+    return plan(df, "simple").split("Initial Plan")[0].replace("ReusedExchange", "").replace(", Exchange", "")
+
+
 @pytest.fixture(scope="module")
 def sold(spark):
     """Sales with one customer and one product holding a third of the rows."""
@@ -101,6 +106,37 @@ def test_row_checks_share_one_scan_per_table(sold):
     assert all(row.passed for row in outcome.collect()) and outcome.count() == 5
 
 
+def test_readers_alike_share_the_exchanges(spark):
+    """Two readers of other columns: the join below them is made once, and its rows are those of the plain frame."""
+    lines = spark.createDataFrame([(i % 7 or None, f"p{i % 3}", i) for i in range(50)], "id int, code string, amount int")
+    parents = spark.createDataFrame([(1,), (2,), (2,), (5,), (None,)], "id int")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = lines.join(parents, "id")
+        outcomes = []
+        for df, exchanges in ((joined, 3), (read_alike(joined, "id", "code", "amount"), 2)):
+            both = df.groupBy("id").agg(F.sum("amount")).union(df.groupBy("id").agg(F.countDistinct("code")))
+            outcomes.append((sorted(map(tuple, both.collect())), sorted(map(tuple, df.collect()))))
+            assert made(both).count("Exchange hashpartitioning(id") == exchanges
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert outcomes[0] == outcomes[1]
+
+
+def test_full_report_makes_the_sales_once(spark):
+    """Six readers of the sales and two of the fact: lines and headers are sent and joined once, and so is the fact."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        outcome = QUERIES["dq_full_report"](spark, SF_DIR)
+        assert len(outcome.collect()) == 21
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    text = made(outcome)
+    assert text.count("FileScan parquet [l_orderkey") == text.count("FileScan parquet [o_orderkey") == 1
+    sent = re.findall(r"Exchange hashpartitioning\((\w+)#.*\n.*Project \[.*total_amount", text)
+    assert sorted(sent) == ["customer_id", "product_id", "product_id"]
+
+
 def test_dedup_reduces_before_the_shuffle(sold, spark):
     """Every task sends at most one row of a hot key."""
     copies = sold["orders"].withColumn("order_id", F.lit("same"))
